@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import norm_key
+from tessera.llm.bpe import encode
 from tessera.llm.survivor import depths, survivors, transitions
 from tessera.llm.terms import term_frequencies
 from tessera.sources.tables import table
@@ -41,7 +42,12 @@ def p6_currency(spark: SparkSession, folder: str) -> DataFrame:
     return survivors(rows, table(spark, folder, "sources"), SURVIVOR_FIELDS, currency=reduce(DataFrame.unionByName, parts))
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p6_found, p6_currency)}
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p6_found, p6_currency, p7_ids)}
 
 _TERMS = """
   WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
