@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import norm_key
 from tessera.llm.bpe import encode
+from tessera.llm.leaks import leaks
 from tessera.llm.survivor import depths, survivors, transitions
 from tessera.llm.terms import term_frequencies
 from tessera.sources.tables import table
@@ -47,7 +48,17 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p6_found, p6_currency, p7_ids)}
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold half of a test item, with the share that they hold."""
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Test items leaked into documents."""
+    return p8_shares(spark, folder).select("item_id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p6_found, p6_currency, p7_ids, p8_shares, p8_found)}
 
 _TERMS = """
   WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
