@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import norm_key
 from tessera.llm.bpe import encode
+from tessera.llm.canon import map_fields
 from tessera.llm.leaks import leaks
 from tessera.llm.survivor import depths, survivors, transitions
 from tessera.llm.terms import term_frequencies
@@ -25,6 +26,17 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_terms(spark, folder).where("mark IS NOT NULL").select("field_name", "term", "mark")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The entry of the reference list that each free value means."""
+    fields = ["tissue", "disease_state", "self_reported_ethnicity", "development_stage"]
+    return map_fields(table(spark, folder, "sample_meta"), table(spark, folder, "canon_terms"), fields)
+
+
+def p5_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per field whose value means no entry of the list."""
+    return p5_found(spark, folder).where("term_id = 0").groupBy("field_name").agg(F.count("*").alias("rows"))
+
+
 SURVIVOR_FIELDS = ["title", "publication", "technology", "tissue", "disease", "n_samples", "verdict"]
 
 
@@ -58,7 +70,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_shares(spark, folder).select("item_id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p6_found, p6_currency, p7_ids, p8_shares, p8_found)}
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_currency, p7_ids, p8_shares, p8_found)}
 
 _TERMS = """
   WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
