@@ -11,6 +11,7 @@ from tessera.functions.text import norm_key
 from tessera.llm.bpe import encode
 from tessera.llm.canon import map_fields
 from tessera.llm.leaks import leaks
+from tessera.llm.sentences import sentences
 from tessera.llm.survivor import depths, survivors, transitions
 from tessera.llm.terms import term_frequencies
 from tessera.sources.tables import table
@@ -70,7 +71,12 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_shares(spark, folder).select("item_id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_currency, p7_ids, p8_shares, p8_found)}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentences of every document."""
+    return sentences(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_currency, p7_ids, p8_shares, p8_found, p9_found)}
 
 _TERMS = """
   WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
