@@ -47,7 +47,7 @@ def persisted(df: DataFrame, name: str, partition_by: list[str] | None = None) -
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(spark.read.parquet(path).schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
