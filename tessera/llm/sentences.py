@@ -136,6 +136,7 @@ class Stop:
     look: str  # L lower case, D digit, P punctuation, U upper case, N no case, M mixed name
     mark: str
     spaced: bool
+    broken: bool  # a line break follows
     open_at_start: bool  # the stop closes a quotation or bracket that opened the sentence
 
 
@@ -149,7 +150,7 @@ def _look(par: str, at: int) -> tuple[str, str]:
         return "", "E"
     raw = m.group()
     c = raw[0]
-    word = raw.rstrip(_CLOSERS + ".,;:!?…")
+    word = raw.rstrip(_CLOSERS + ".,;:!?…") or raw
     if c.isdigit():
         return word, "D"
     if not c.isalpha():
@@ -197,7 +198,8 @@ def stops(par: str) -> Iterator[Stop]:
         lead = begin
         while lead < n and par[lead].isspace():
             lead += 1
-        yield Stop(end, word, nxt, look, mark, spaced, quoted and starts[k] <= lead)
+        broken = bool(re.match(r"[^\S\n\r]*[\n\r]", par[end : end + 200]))
+        yield Stop(end, word, nxt, look, mark, spaced, broken, quoted and starts[k] <= lead)
         begin = end
 
 
@@ -212,6 +214,8 @@ def ends_sentence(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
         if s.open_at_start and s.look != "U":
             return False  # a quotation that opens a larger sentence
         return s.look != "P" or s.nxt[:1] in "-–—•"
+    if s.look == "P" and s.broken and s.nxt in ("-", "–", "—", "*"):
+        return True  # a lone list item after a full sentence
     if s.look == "P":
         return bool(s.spaced and s.nxt[:1] in "•<#@*_~`[" and mark != "…" and not _abbreviation(s, keys, model))
     if not s.spaced:
@@ -449,7 +453,8 @@ def learn(stats: DataFrame) -> DataFrame:
     free = t.where(~F.col("flagged") & can & F.col("cb").isNotNull())
     held = free.where((F.col("n") >= 5) & (F.col("n") >= 0.8 * F.col("cx")) & (F.col("n") >= SHARE * F.col("all")) & (F.col("n") < 0.3 * F.col("c")) & (_llr(F.col("n"), F.col("c"), p_x) >= LLR)).select(F.lit("pair").alias("what"), "key", "w", "x", F.lit(0.0).alias("v"))
     opens = opened.where((F.col("cb") >= 3) & (F.col("breadth") >= 2) & (F.col("cb") >= SHARE * F.col("tb"))).select(F.lit("open").alias("what"), "key", none.alias("w"), "x", (F.col("cb") / F.col("tb")).alias("v"))
-    seen = t.where(~F.col("flagged")).select(F.lit("seen").alias("what"), "key", "w", none.alias("x"), F.lit(1.0).alias("v")).distinct()
+    # a language's few stops tell less than those of the script together
+    seen = t.where(~F.col("flagged") & ((F.col("c") >= 20) | ~F.col("key").contains(":"))).select(F.lit("seen").alias("what"), "key", "w", none.alias("x"), F.lit(1.0).alias("v")).distinct()
     return joint.unionByName(pair).unionByName(held).unionByName(opens).unionByName(seen)
 
 
