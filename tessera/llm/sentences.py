@@ -409,8 +409,9 @@ def _llr(k: Column, n: Column, p0: Column | float) -> Column:
 def statistics(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Counts (key, w, x, look, n) of full stops: word before, word after, look; per language and per script."""
     raw = spread(docs.select(text, lang)).mapInArrow(_count, _STATS).groupBy("key", "w", "x", "look").agg(F.sum("n").alias("n"))
+    raw = persisted(raw, "stops-raw")  # the corpus is read once
     pooled = raw.where(F.col("key").contains(":")).withColumn("key", F.split("key", ":")[0]).groupBy("key", "w", "x", "look").agg(F.sum("n").alias("n"))
-    return persisted(raw.unionByName(pooled), "stops")
+    return raw.unionByName(pooled)
 
 
 def learn(stats: DataFrame) -> DataFrame:
