@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import corpus
+from tessera.plans import corpus, matrix
 
-_MODULES = (corpus,)
+_MODULES = (corpus, matrix)
 
 
 def queries() -> dict:
