@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import corpus, matrix
+from tessera.plans import corpus, matrix, names
 
-_MODULES = (corpus, matrix)
+_MODULES = (corpus, matrix, names)
 
 
 def queries() -> dict:
