@@ -244,7 +244,7 @@ def html_text(page: Column) -> Column:
     t = F.regexp_replace(t, r"(?s)<[^>]+>", " ")
     for entity, x in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(x))
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    return F.trim(F.regexp_replace(t, r"[\t\n\x0b\f\r ]+", " "))
 
 
 def html_links(page: Column, most: int = 400) -> Column:

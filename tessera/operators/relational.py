@@ -106,7 +106,7 @@ def binned(value: Column, edges: list[float]) -> Column:
 
 def pivot_counts(df: DataFrame, row: str, col: str, values: list[str]) -> DataFrame:
     """Counts by row and named column values, 0 where none, with the row's total."""
-    p = df.groupBy(row).pivot(col, values).agg(F.count("*")).na.fill(0)
+    p = df.groupBy(row).pivot(col, values).agg(F.count(F.lit(1))).na.fill(0)
     return p.withColumn("total", reduce(lambda a, b: a + b, [F.col(f"`{v}`") for v in values]))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import corpus, matrix, names
+from tessera.plans import catalogue, corpus, matrix, names
 
-_MODULES = (corpus, matrix, names)
+_MODULES = (corpus, catalogue, matrix, names)
 
 
 def queries() -> dict:

@@ -159,7 +159,7 @@ SQL = {
         WHEN u = 'month' AND n < 24 THEN CAST(floor(n) AS INT) || '-month-old stage' WHEN y >= 1 THEN CAST(floor(y) AS INT) || '-year-old stage' ELSE 'unknown' END AS stage FROM d""",
     "html_pages": r"""WITH p AS (SELECT doc_id, '<html><style>p {x}</style><script>var a = ''<b>'';</script><p>' || text || '</p>&amp;&nbsp;<a href=''https://a.example/x''>one</a> <a href="/y">two</a></html>' AS h FROM documents WHERE text IS NOT NULL),
       t AS (SELECT doc_id, h, regexp_replace(regexp_replace(h, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g') AS t FROM p),
-      e AS (SELECT doc_id, h, trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM t)
+      e AS (SELECT doc_id, h, trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[\t\n\x0b\f\r ]+', ' ', 'g'), ' ') AS t FROM t)
       SELECT doc_id, CAST(length(t) AS INT) AS n, md5(t) AS hash, array_to_string(regexp_extract_all(h, 'href=["'']([^"''#]+)["'']', 1), ' ') AS links FROM e""",
     "member_samples": "SELECT file_id, list_filter(string_split(local_path, '/')[:-2], lambda x: x <> '' AND lower(x) NOT IN ('raw', 'outs', 'data'))[1] AS sample, regexp_replace(regexp_extract(local_path || '.tar.gz', '([^/]*)$', 1), '(?i)\\.(tar\\.gz|tar\\.bz2|tgz|tar|zip|7z|rar)$', '') AS stem FROM files WHERE local_path IS NOT NULL",
     "stated_flags": "SELECT field, coalesce(v, '<null>') AS spelling, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS field, lower(trim({c})) AS v FROM sample_meta" for c in ("tissue", "sex", "age_unit", "age_group", "disease_state", "donor_id", "preservation")) + f") WHERE v IS NULL OR v IN ({_NOT}) GROUP BY 1, 2",
