@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import catalogue, corpus, matrix, names
+from tessera.plans import catalogue, corpus, matrix, names, resolve, spatial
 
-_MODULES = (corpus, catalogue, matrix, names)
+_MODULES = (corpus, catalogue, matrix, names, resolve, spatial)
 
 
 def queries() -> dict:
