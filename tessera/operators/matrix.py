@@ -79,7 +79,7 @@ def matrix_kind(entries: DataFrame) -> DataFrame:
 
 
 #: Whether counts can be had back from each kind of matrix.
-RECOVERABLE = {"raw_counts": "yes", "normalised": "maybe", "log1p": "maybe", "scaled": "no", "other": "no"}
+RECOVERABLE = {"raw_counts": "yes", "log1p": "yes_expm1", "normalised": "no", "other": "no", "scaled": "no"}
 
 
 def counts_recover(entries: DataFrame, least: int = 5, genes: int = 400) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import catalogue, corpus, matrix, names, quality, resolve, spatial
+from tessera.plans import catalogue, corpus, derived, matrix, names, quality, resolve, spatial
 
-_MODULES = (corpus, catalogue, matrix, names, quality, resolve, spatial)
+_MODULES = (corpus, catalogue, derived, matrix, names, quality, resolve, spatial)
 
 
 def queries() -> dict:

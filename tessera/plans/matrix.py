@@ -52,7 +52,7 @@ def matrix_kind(spark, folder):
 def matrix_recoverable(spark, folder):
     """Whether counts can be had back, by kind."""
     known = F.create_map(*[F.lit(x) for kv in M.RECOVERABLE.items() for x in kv])
-    return M.matrix_kind(_three(spark, folder)).select("matrix", "kind", F.coalesce(known[F.col("kind")], F.lit("no")).alias("recoverable"))
+    return M.matrix_kind(_three(spark, folder)).select("matrix", "kind", F.coalesce(known[F.col("kind")], F.lit("unknown")).alias("recoverable"))
 
 
 def counts_recover(spark, folder):
@@ -97,7 +97,7 @@ SQL = {
     "qc_gene_detection": "SELECT p_partkey AS gene, count(DISTINCT l_orderkey) FILTER (l_quantity > 0) AS n_cells, round(coalesce(sum(l_quantity), 0), 6) AS total FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY 1",
     "prefix_fraction": "SELECT l_orderkey AS cell, round(sum(CASE WHEN starts_with(p_brand, 'Brand#1') THEN l_quantity ELSE 0 END) * 100 / sum(l_quantity), 6) AS pct FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1",
     "matrix_kind": _KIND,
-    "matrix_recoverable": f"SELECT matrix, kind, CASE kind WHEN 'raw_counts' THEN 'yes' WHEN 'normalised' THEN 'maybe' WHEN 'log1p' THEN 'maybe' ELSE 'no' END AS recoverable FROM ({_KIND})",
+    "matrix_recoverable": f"SELECT matrix, kind, CASE kind WHEN 'raw_counts' THEN 'yes' WHEN 'log1p' THEN 'yes_expm1' WHEN 'empty' THEN 'unknown' ELSE 'no' END AS recoverable FROM ({_KIND})",
     "counts_recover": f"""WITH e AS ({_FOUR}),
       o AS (SELECT matrix, round(avg(CASE WHEN abs(value - round_even(value, 0)) < 1e-6 THEN 1.0 ELSE 0 END), 6) AS frac_integer, bool_or(value < 0) AS has_negative FROM e GROUP BY 1),
       z AS (SELECT matrix, gene, count(*) FILTER (value > 0) AS n, min(value) FILTER (value > 0) AS u, row_number() OVER (PARTITION BY matrix ORDER BY count(*) DESC, gene) AS r FROM e WHERE value <> 0 GROUP BY 1, 2),
