@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.text import norm_key, strip
+from tessera.session import persisted, ship, small
 
 #: Rows of all snapshots that one bucket is meant to hold (about 45 bytes a row in the Python worker).
 BUCKET_ROWS = 1_000_000
@@ -111,12 +112,14 @@ def snapshot_changes(
         *[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)],
         *[F.col(v).cast("string").alias(f"v{i}") for i, v in enumerate(values)],
     ).where(F.col("snap_date").isNotNull())
+    ship(df.sparkSession)
     # one row a snapshot date: a handful of rows, numbered in one partition
     deliveries = src.groupBy("snap_date").agg(F.max("delivered").alias("delivered"))
     order = Window.orderBy("snap_date")
     deliveries = deliveries.withColumn("snap", F.row_number().over(order).cast("int")).withColumn(
         "n_snaps", F.max("snap").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     )
+    deliveries = small(persisted(deliveries, "deliveries"))
     key: Column = F.concat_ws("\u0001", *[norm_key(F.col(f"k{i}")) for i in range(len(keys))])
     value = F.array(*[norm_key(F.col(f"v{i}")) for i in range(len(values))])
     rows = (

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import norm_key, stated
+from tessera.session import small
 
 #: Days of each unit of age.
 DAYS = {"day": 1.0, "week": 7.0, "month": 30.4375, "year": 365.25, "decade": 3652.5}
@@ -182,13 +183,13 @@ def age_days(meta: DataFrame, sources: DataFrame) -> DataFrame:
     ``evidence``, the one for which the identity "age_num * unit = the age in evidence" has the least log residual;
     else the archive's. A null or NaN ``age_num`` leaves the age in evidence. Negative ages and ages above 120 years
     are no ages, so the row is left out, as is a row without any age. Ages round half up. ``sources`` is a registry
-    of one row per archive: it is broadcast only under the session's broadcast threshold.
+    of one row per archive: it is broadcast if it is counted to be small, else joined by shuffle.
     """
     notes = sources.select(norm_key(F.col("name")).alias("_src"), unit_in_notes(F.col("notes")).alias("_default")).groupBy("_src").agg(F.max("_default").alias("_default"))
     num = F.nanvl(F.col("age_num").cast("double"), F.lit(None).cast("double"))
     df = meta.select("meta_id", num.alias("num"), F.when(stated(F.col("age_unit")), unit_of(F.col("age_unit"))).alias("named"), F.coalesce(norm_key(F.col("source")), F.lit("")).alias("_src"), "evidence")
     needed = F.when(F.col("num").isNull() | F.col("named").isNull(), F.col("evidence"))
-    df = df.withColumn("ev", age_in_text(needed)).drop("evidence").join(notes, "_src", "left")
+    df = df.withColumn("ev", age_in_text(needed)).drop("evidence").join(small(notes), "_src", "left")
     cand = lambda u: F.struct(u.alias("unit"), days_of(u).alias("factor"))
     written = F.filter(F.array(F.col("ev.unit"), F.col("ev.unit2")), lambda u: u.isNotNull())
     chosen = F.when(F.col("named").isNotNull(), F.array("named")).when(F.size(written) > 0, written).when(F.col("_default").isNotNull(), F.array("_default"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "tessera", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -39,6 +42,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, unless they find it by themselves."""
+    app, home = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    seen = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home in seen or (spark.sparkContext.master.startswith("local[") and Path.cwd().resolve() == home):
+        return
+    folder = shared_dir(spark).removeprefix("file://")
+    folder = folder if os.path.isdir(folder) else tempfile.gettempdir()  # the driver serves the file from here
+    path = f"{folder}/tessera-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(Path(__file__).parent.rglob("*.py")):
+            z.write(f, f.relative_to(home))
+    spark.sparkContext.addPyFile(path)
+
+
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it is proven to have ``most`` rows at most; else as it is, joined by shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def persisted(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -55,5 +84,6 @@ def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
 
     A large table has more splits than cores and is left as it is (no shuffle).
     """
+    ship(df.sparkSession)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores * per_core) if df.rdd.getNumPartitions() < cores else df

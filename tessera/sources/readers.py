@@ -13,6 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.window import Window
 
 from tessera.functions.names import file_role, size_to_bytes
+from tessera.session import ship
 
 
 def ledger(spark: SparkSession, path: str, schema: T.StructType | str, keys: list[str]) -> DataFrame:
@@ -171,6 +172,7 @@ def matrix_trio(spark: SparkSession, matrix: str, barcodes: str, features: str,
     Which axis holds the genes is told by the files' lengths: rows are genes unless the largest row number fits the
     barcodes only. Lengths that fit neither way are refused.
     """
+    ship(spark)
     spark.dataSource.register(MatrixMarket)
     m = spark.read.format("matrixmarket").option("partitionBytes", str(partition_bytes)).load(matrix)
     b, f = lines(spark, barcodes), lines(spark, features)

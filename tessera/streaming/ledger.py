@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import shared_dir
+from tessera.session import shared_dir, ship
 
 
 def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,7 @@ def run(df: DataFrame, mode: str, out: str | None = None, checkpoint: str | None
 
     A batch that is run again after a failure overwrites its own folder, so the result is exactly-once.
     """
+    ship(df.sparkSession)
     root = shared_dir(df.sparkSession)
     out = out or f"{root}/stream-{uuid.uuid4().hex}"
     checkpoint = checkpoint or f"{root}/check-{uuid.uuid4().hex}"
