@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import stated
-from tessera.session import persisted
+from tessera.session import persisted, small
 
 K = 2
 #: Shorter reference strings must be met exactly: a slip in them makes another word too easily.
@@ -113,14 +113,13 @@ def canonical(values: DataFrame, canon: DataFrame) -> DataFrame:
 
     Readings of a value are tried from the least changed to the most; a reading that is a spelling of the list wins
     over one that is a slip away. Of several entries one slip away, those with the value's first letter come first,
-    then the smallest term_id. The list is a reference of fixed size; the session's threshold decides how it is
-    joined. Null and blank values are not expected (see ``map_fields``); they map to 0.
+    then the smallest term_id. The list's spellings are broadcast if they are counted to be few. Null and blank values are not expected (see ``map_fields``); they map to 0.
     """
     refs = persisted(reference(canon), "canon-spellings")
     readings = values.select("field_name", "value", F.explode(forms(F.col("value"))).alias("x")).select("field_name", "value", "x.rank", "x.form")
     ages = readings.select("field_name", "value", F.lit(0).alias("rank"), age_form(F.col("form")).alias("form")).where("form IS NOT NULL")
     readings = persisted(readings.unionByName(ages).distinct(), "canon-readings")
-    exact = readings.join(refs.withColumnRenamed("spelling", "form"), ["field_name", "form"]).select("field_name", "value", "term_id", F.struct(F.lit(0).alias("d"), "kind", "rank", F.lit(0).alias("other"), "term_id").alias("k"))
+    exact = readings.join(small(refs.withColumnRenamed("spelling", "form")), ["field_name", "form"]).select("field_name", "value", "term_id", F.struct(F.lit(0).alias("d"), "kind", "rank", F.lit(0).alias("other"), "term_id").alias("k"))
     hit = persisted(exact.groupBy("field_name", "value").agg(F.min("k").alias("k")), "canon-exact")
     rest = readings.join(hit, ["field_name", "value"], "left_anti").where(~F.col("form").rlike(r"\d"))
     pairs = near_pairs(rest.select("field_name", "form").distinct(), refs.where(F.col("kind") == 0).where(F.length("spelling") >= LEAST))
@@ -141,7 +140,7 @@ def map_fields(rows: DataFrame, canon: DataFrame, fields: list[str], row_id: str
     """
     long = rows.select(F.col(row_id).alias("_id"), F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x")).select("_id", "x.*").where(stated(F.col("value")))
     labels = canon.select("field_name", F.col("label").alias("value")).distinct()
-    long = long.join(labels, ["field_name", "value"], "left_anti")
+    long = long.join(small(labels), ["field_name", "value"], "left_anti")
     counted = persisted(long.groupBy("field_name", "value").agg(F.count("*").alias("n")), "canon-values")
     mapped = persisted(canonical(counted, canon).join(counted, ["field_name", "value"]), "canon-mapped")
     total = mapped.agg(F.sum("n")).first()[0] or 0
