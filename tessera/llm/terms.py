@@ -1,7 +1,7 @@
 """Frequency of every distinct term, kept up to date by signed deltas.
 
-State is two tables in the shared folder: the occurrences of each term per record, and per term the occurrences and
-the number of records, both partitioned. A batch of added, changed or deleted rows becomes signed counts; only the
+State is two tables in the shared folder: a log of signed occurrences of each term per record, and per term the
+occurrences and the number of records, partitioned by term. A batch of added, changed or deleted rows becomes signed counts; only the
 records that it touches are looked up, and its net changes are merged into the counts.
 """
 
@@ -21,7 +21,7 @@ _PARTS = 32
 
 @dataclass
 class TermState:
-    """``holdings``: part, record, field_name, term, occurrences. ``counts``: part, field_name, term, occurrences, records."""
+    """``holdings``: record, field_name, term, n (signed). ``counts``: part, field_name, term, occurrences, records."""
 
     holdings: DataFrame
     counts: DataFrame
@@ -54,33 +54,39 @@ def _named(col: str, name: str, pattern: str) -> Column:
 
 
 def apply_delta(state: TermState | None, delta: DataFrame) -> TermState:
-    """The state after a batch of ``signed_terms``; ``state`` None is empty. Both tables are written anew.
+    """The state after a batch of ``signed_terms``; ``state`` None is empty.
 
-    A record holds a term while its occurrences are above 0; terms left with none leave the counts.
+    A record holds a term while its occurrences are above 0; terms left with none leave the counts. Of the holdings
+    only the records that the batch touches are looked up, and only the batch is written (the holdings are a log of
+    signed rows, which ``compacted`` sums up); the counts, a row a term, are written anew.
     """
-    changes = delta.select(_part("record").alias("part"), "record", "field_name", "term", "n")
+    log = persisted(delta.select("record", "field_name", "term", "n"), "term-holdings")
+    zero = F.lit(0).cast("bigint")
+    keys = ["record", "field_name", "term"]
     if state is None:
-        moved = changes.withColumn("before", F.lit(0).cast("bigint"))
-        holdings = moved
+        moved = log.withColumn("before", zero)
+        holdings = log
     else:
-        moved = changes.join(state.holdings.withColumnRenamed("occurrences", "before"), ["part", "record", "field_name", "term"], "full")
-        holdings = moved
-    holdings = holdings.select("part", "record", "field_name", "term", (F.coalesce("before", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("occurrences"), F.coalesce("n", F.lit(0)).alias("d_occ"), F.coalesce("before", F.lit(0)).alias("before"))
-    holdings = persisted(holdings, "term-holdings", ["part"])
-    net = (
-        holdings.where("d_occ <> 0")
-        .groupBy("field_name", "term")
-        .agg(F.sum("d_occ").alias("d_occ"), F.sum((F.col("occurrences") > 0).cast("bigint") - (F.col("before") > 0).cast("bigint")).alias("d_rec"))
-    )
-    zero = F.lit(0).cast("bigint")
+        touched = log.select("record").distinct()
+        before = state.holdings.join(touched, "record", "left_semi").groupBy(*keys).agg(F.sum("n").alias("before"))
+        moved = log.join(before, keys, "left").withColumn("before", F.coalesce("before", zero))
+        holdings = state.holdings.unionByName(log)
+    holds = lambda c: (c > 0).cast("bigint")
+    net = moved.groupBy("field_name", "term").agg(F.sum("n").alias("d_occ"), F.sum(holds(F.col("before") + F.col("n")) - holds(F.col("before"))).alias("d_rec"))
     if state is None:
         counts = net.select("field_name", "term", F.col("d_occ").alias("occurrences"), F.col("d_rec").alias("records"))
     else:
         counts = net.join(state.counts.drop("part"), ["field_name", "term"], "full").select(
             "field_name", "term", (F.coalesce("occurrences", zero) + F.coalesce("d_occ", zero)).alias("occurrences"), (F.coalesce("records", zero) + F.coalesce("d_rec", zero)).alias("records")
         )
-    counts = persisted(counts.where("records > 0").withColumn("part", _part("term")), "term-counts", ["part"])
-    return TermState(holdings.where("occurrences > 0").select("part", "record", "field_name", "term", "occurrences"), counts)
+    counts = persisted(counts.where("records > 0").withColumn("part", _part("term")).repartition("part"), "term-counts", ["part"])
+    return TermState(holdings, counts)
+
+
+def compacted(state: TermState) -> TermState:
+    """The same state with one row per record and term in its log."""
+    keys = ["record", "field_name", "term"]
+    return TermState(persisted(state.holdings.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 0"), "term-holdings"), state.counts)
 
 
 def marked(counts: DataFrame, rare_below: int = 5, common_above: float = 0.2) -> DataFrame:

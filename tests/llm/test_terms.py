@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.llm.terms import apply_delta, marked, signed_terms, term_frequencies
+from tessera.llm.terms import apply_delta, compacted, marked, signed_terms, term_frequencies
 
 SCHEMA = "url string, fmt string, role string, loaded_at timestamp_ntz, term string, n bigint"
 
@@ -39,6 +39,8 @@ def test_deltas_against_brute_force(spark):
     delta = frame(spark, gone).withColumn("sign", F.lit(-1)).unionByName(frame(spark, new).withColumn("sign", F.lit(1)))
     s = apply_delta(s, signed_terms(delta, "url", ["fmt", "role"], sign=F.col("sign")))
     assert state(s) == brute(old[15:] + new)
+    s = compacted(s)
+    assert state(s) == brute(old[15:] + new)
     s = apply_delta(s, signed_terms(frame(spark, old[15:] + new), "url", ["fmt", "role"], sign=F.lit(-1)))
     assert state(s) == {} and s.counts.count() == 0
 
