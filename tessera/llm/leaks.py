@@ -2,9 +2,9 @@
 
 Texts are compared by their letters and digits only. A test item is cut into consecutive pieces so short that every
 window of a passage's least length holds one piece more than the error budget; of these pieces one at least is free
-of errors (pigeonhole). All pieces of all items are looked up in a document in one pass (Aho-Corasick), every hit is
-verified, with Myers' bit-parallel edit distance where the budget is above 0, and the verified passages are joined to
-the share of the item that the document holds.
+of errors (pigeonhole). All pieces of all items are looked up in a document in one pass (Aho-Corasick), every hit is verified
+with Myers' bit-parallel edit distance (without errors: of the longest stretch around the hit; with errors: of every
+window around it), and the verified passages are joined to the share of the item that the document holds.
 """
 
 from __future__ import annotations
@@ -124,7 +124,7 @@ class ItemIndex:
                     continue
                 a, b = _extend(item, p, text, s, self.piece)
                 done[i, s - p] = s + b - p
-                if b - a >= self.run:
+                if b - a >= self.run and myers(item[a:b], text[s - p + a : s - p + b]) == 0:
                     found[i].append((a, b))
         return found
 

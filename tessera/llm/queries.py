@@ -71,12 +71,17 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_shares(spark, folder).select("item_id", "doc_id")
 
 
+def p8_near(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold half of a test item with one edit in twenty letters allowed."""
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"), errors=1)
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Sentences of every document."""
     return sentences(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_currency, p7_ids, p8_shares, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_currency, p7_ids, p8_shares, p8_found, p8_near, p9_found)}
 
 _TERMS = """
   WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
