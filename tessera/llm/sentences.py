@@ -37,7 +37,6 @@ _CLOSERS = _CLOSE + _QUOTES_CLOSE + "\"'"
 _OPENERS = _OPEN + _QUOTES_OPEN + "\"'¿¡"
 _FULL = "。！？．｡।॥។။።"  # end a sentence without a space after them
 _STOPS = ".!?…‼⁇⁈⁉؟۔" + _FULL
-_NO_CASE = re.compile(r"[\u0590-\u109f\u1100-\u11ff\u1200-\u137f\u1780-\u17ff\u2e80-\ua4cf\uac00-\ud7ff豈-\ufaff\U00020000-\U0003ffff]")
 _CJK = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff豈-\ufaff]")
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f"  # Thai, Lao, Burmese: spaces part sentences
 
@@ -49,7 +48,10 @@ _QUOTE = re.compile(rf"[{re.escape(_OPEN + _CLOSE + _QUOTES_OPEN + _QUOTES_CLOSE
 _NUMBER = re.compile(r"\d(?:[\d.,]*\d)?")
 _SPACED = re.compile(rf"(?<=[{_UNSPACED}])[^\S\n]*\n?[^\S\n]+(?=[{_UNSPACED}])|(?<=[{_UNSPACED}])\s+(?=[{_UNSPACED}])")
 _SPACED_LATIN = re.compile(rf"(?<=[{_UNSPACED}])\s+(?=[A-Z][a-z]*\s+[a-z]+\s)")
-_WORD = re.compile(r"\S+")
+_WORD = re.compile(r"\S{1,200}")  # more of a word is never looked at, so a text without spaces takes linear time
+_GLUED = re.compile(r"[a-z\u00df-\u00ff)\d]{2}[.!?\u2026](?=[A-Z\u00c0-\u00de])")
+#: How far back a word before a stop, or an opened bracket, is looked for.
+_BACK = 200
 _HAS_WORD = re.compile(r"\w")
 
 _SCRIPTS = (("Deva", "\u0900", "\u097f"), ("Thai", "\u0e00", "\u0e7f"), ("Hang", "\uac00", "\ud7af"), ("Arab", "\u0600", "\u06ff"), ("Cyrl", "\u0400", "\u04ff"), ("Grek", "\u0370", "\u03ff"), ("Jpan", "\u3040", "\u30ff"), ("Hani", "\u4e00", "\u9fff"))
@@ -99,7 +101,7 @@ def _depths(par: str) -> tuple[list[int], list[int]]:
         c, i = m.group(), m.start()
         before, after = par[i - 1] if i else " ", par[i + 1] if i + 1 < n else " "
         if c in "\"'":
-            top = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == c), None)
+            top = next((k for k in range(len(stack) - 1, max(-1, len(stack) - _BACK), -1) if stack[k][0] == c), None)
             if top is not None and not before.isspace() and (c == '"' or not after.isalnum()):
                 spans.append((stack[top][1], i + 1))
                 del stack[top:]
@@ -109,7 +111,7 @@ def _depths(par: str) -> tuple[list[int], list[int]]:
             continue
         wants = _PAIRS.get(c)
         if wants is not None:
-            top = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == wants or c == "”" and stack[k][0] == "„"), None)
+            top = next((k for k in range(len(stack) - 1, max(-1, len(stack) - _BACK), -1) if stack[k][0] == wants or c == "”" and stack[k][0] == "„"), None)
             if top is not None:
                 spans.append((stack[top][1], i + 1))
                 del stack[top:]
@@ -184,10 +186,13 @@ def stops(par: str) -> Iterator[Stop]:
         if ";" in mark or "\u037e" in mark:  # the Greek question mark
             if not (spaced and i and "\u0370" <= par[i - 1] <= "\u1fff"):
                 continue
-        a = i
-        while a > 0 and not par[a - 1].isspace():
+        a, low = i, max(0, i - _BACK)
+        while a > low and not par[a - 1].isspace():
             a -= 1
-        word = par[a:i].lstrip(_OPENERS + "-–—")
+        word = par[a:i]
+        if glued := list(_GLUED.finditer(word)):
+            word = word[glued[-1].end() :]
+        word = word.lstrip(_OPENERS + "-–—")
         if "://" in word or "@" in word:
             if not spaced:
                 continue

@@ -5,7 +5,7 @@ import pytest
 from tessera.llm.sentences import Model, _depths, learn, model_of, sentences, split, statistics
 
 ENDS = ["The wash was long.", "Cells were kept apart.", "We saw the edge.", "All blocks came early.", "Nuclei were stained twice.", "After that, nothing moved.", "Each tile holds rows.", "Was it gone?", "Counts are integers.", "This deposit is new."]
-ABBR = ["See Fig. 3 and Supp. Table 2 for more.", "Probes, e.g. MUV5 and KLX9, were used.", "Slide no. 8 failed at ca. 30 cells, i.e. before the wash.", "Work was shared by a U.S. team.", "Authors J. K. Sample et al. reported 12 cells.", "The counts follow Sample et al.", "The tables hold cells, genes, etc.", "The pitch was 3.5 mm vs. 4.1 mm.", "The run ended at 7 p.m. on Tuesday."]
+ABBR = ["See Fig. 3 and Supp. Table 2 for more.", "Probes, e.g. MUV5 and KLX9, were used.", "Slide no. 8 failed at ca. 30 cells, i.e. before the wash.", "Work was shared by a U.S. team.", "Authors J. K. Sample et al. reported 12 cells.", "The counts follow Sample et al.", "The tables hold cells, genes, etc.", "The pitch was 3.5 mm vs. 4.1 mm.", "The run ended at 7 p.m. on Tuesday.", "Dr. Demo of the desk checked it."]
 GERMAN = ["Am 10. Mai wurde der 3. Block geschnitten.", "Siehe Abb. 4 bzw. Tab. 7 im Anhang.", "Proben, z. B. aus der Haut, fehlen.", "Der Rand blieb ohne Signal.", "Wir haben alles gelagert.", "Fehlt die Einheit?", "Die Nr. 8 ging verloren!", "Nach der Wahl blieb er."]
 
 
@@ -46,6 +46,7 @@ def test_held_out_accuracy(model):
         ("Summary\n\nThe wash\nwas long.\n- see the edge", ["Summary", "The wash\nwas long.", "- see the edge"]),
         ("- Wash. Twice\n- Cut at 3.5 mm\n\n1. One\n2. Two. More", ["- Wash. Twice", "- Cut at 3.5 mm", "1. One", "2. Two. More"]),
         ("It was left out.The wash was long. Node.js writes a.b.csv by default.", ["It was left out.", "The wash was long.", "Node.js writes a.b.csv by default."]),
+        ("It was left in the zone.Dr. Demo left. Dr. Demo came.", ["It was left in the zone.", "Dr. Demo left.", "Dr. Demo came."]),
         ("We waited… and it moved. The label was ... not there.", ["We waited… and it moved.", "The label was ... not there."]),
         ("Gone?! After that, nothing moved.  p28-positive cells were rare. mRNA was found.", ["Gone?!", "After that, nothing moved.", "p28-positive cells were rare.", "mRNA was found."]),
         ("结果……并不一致。“请保留。不要合并。”记录中这样写道。千万不要！好。", ["结果……并不一致。", "“请保留。不要合并。”记录中这样写道。", "千万不要！", "好。"]),
@@ -85,6 +86,8 @@ def test_very_long_text(model):
     text = "The wash was long. " * 20_000
     assert len(split(text, "en", model)) == 20_000
     assert len(split("x" * 500_000, None, model)) == 1
+    assert len(split("坐标以像素给出。" * 50_000, "zh", model)) == 50_000
+    assert len(split("(" * 100_000 + "'" * 100_000, None, model)) == 1
 
 
 def test_rows(spark):
