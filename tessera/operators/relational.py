@@ -211,3 +211,54 @@ def hierarchy_confusion(df: DataFrame, mine: str, ref: str, closure: DataFrame)
     j = pairs.join(up.distinct(), ["a", "b"], "left").join(down.distinct(), ["a", "b"], "left")
     verdict = F.when(F.col("a").isNull() | F.col("b").isNull(), "unknown").when(F.col("a") == F.col("b"), "exact").when(F.col("up") | F.col("down"), "consistent").otherwise("conflict")
     return j.groupBy(verdict.alias("verdict")).agg(F.sum("n").alias("n"))
+
+
+class OverwriteError(ValueError):
+    """A known value would be overwritten."""
+
+
+def containment_join(left: DataFrame, left_text: str, right: DataFrame, right_text: str, n: int = 6) -> DataFrame:
+    """Pairs (left_text, right_text) of which one text holds the other, by an equality join of n-grams.
+
+    The shorter text's first ``n`` characters must occur in the longer one, so pairs are candidates only where they
+    share that gram; the containment itself is then checked. Texts shorter than ``n`` are matched by their whole.
+    """
+    l = left.select(F.col(left_text).alias("l")).where("length(l) > 0").distinct()  # noqa: E741
+    r = right.select(F.col(right_text).alias("r")).where("length(r) > 0").distinct()
+
+    def grams(c: str, head: bool) -> Column:
+        if head:
+            return F.substring(c, 1, n)
+        sizes = [_windows(c, k) for k in range(1, n + 1)]
+        return F.explode(F.array_distinct(F.flatten(F.array(*sizes))))
+
+    a = l.select("l", grams("l", False).alias("g")).join(r.select("r", grams("r", True).alias("g")), "g").where(F.contains("l", "r"))
+    b = r.select("r", grams("r", False).alias("g")).join(l.select("l", grams("l", True).alias("g")), "g").where(F.contains("r", "l"))
+    return a.select("l", "r").union(b.select("l", "r")).distinct().toDF(left_text, right_text)
+
+
+def _windows(c: str, k: int) -> Column:
+    """All substrings of ``k`` characters."""
+    return F.when(F.length(c) >= k, F.transform(F.sequence(F.lit(1), F.length(c) - k + 1), lambda i: F.substring(F.col(c), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+
+def positional_join(left: DataFrame, right: DataFrame, by: list[str], ordinal: str) -> DataFrame:
+    """Rows joined by explicit ordinals within ``by``; groups whose sides differ in length are left out whole."""
+    n = left.groupBy(*by).agg(F.count("*").alias("_n"))
+    same = right.groupBy(*by).agg(F.count("*").alias("_n")).join(n, [*by, "_n"]).select(*by)
+    return left.join(right, [*by, ordinal]).join(same, by, "left_semi")
+
+
+def guarded_fill(base: DataFrame, fill: DataFrame, keys: list[str], col: str, unknown) -> DataFrame:
+    """Values filled in where they are unknown; any attempt on a known one is an error (checked before)."""
+    j = base.join(fill.select(*keys, F.col(col).alias("_f")), keys, "left")
+    if j.where(F.col("_f").isNotNull() & ~unknown(F.col(col))).head(1):
+        raise OverwriteError(col)
+    return j.withColumn(col, F.coalesce("_f", col)).drop("_f")
+
+
+def append_text(base: DataFrame, hints: DataFrame, keys: list[str], col: str, sep: str = " | ") -> DataFrame:
+    """A hint appended to the text of matched rows; an empty text becomes the hint."""
+    h = hints.groupBy(*keys).agg(F.min(col).alias("_h"))
+    j = base.join(h, keys, "left")
+    return j.withColumn(col, F.when(F.col("_h").isNull(), F.col(col)).otherwise(F.concat_ws(sep, F.nullif(F.col(col), F.lit("")), "_h"))).drop("_h")
