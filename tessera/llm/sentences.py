@@ -49,6 +49,9 @@ _NUMBER = re.compile(r"\d(?:[\d.,]*\d)?")
 _SPACED = re.compile(rf"(?<=[{_UNSPACED}])[^\S\n]*\n?[^\S\n]+(?=[{_UNSPACED}])|(?<=[{_UNSPACED}])\s+(?=[{_UNSPACED}])")
 _SPACED_LATIN = re.compile(rf"(?<=[{_UNSPACED}])\s+(?=[A-Z][a-z]*\s+[a-z]+\s)")
 _WORD = re.compile(r"\S{1,200}")  # more of a word is never looked at, so a text without spaces takes linear time
+_AROUND = _CLOSERS + " \t\n\r\u00a0\u202f"
+_BROKEN = re.compile(r"[^\S\n\r]*[\n\r]")
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _GLUED = re.compile(r"[a-z\u00df-\u00ff)\d]{2}[.!?\u2026](?=[A-Z\u00c0-\u00de])")
 #: How far back a word before a stop, or an opened bracket, is looked for.
 _BACK = 200
@@ -57,14 +60,18 @@ _HAS_WORD = re.compile(r"\w")
 _SCRIPTS = (("Deva", "\u0900", "\u097f"), ("Thai", "\u0e00", "\u0e7f"), ("Hang", "\uac00", "\ud7af"), ("Arab", "\u0600", "\u06ff"), ("Cyrl", "\u0400", "\u04ff"), ("Grek", "\u0370", "\u03ff"), ("Jpan", "\u3040", "\u30ff"), ("Hani", "\u4e00", "\u9fff"))
 
 
+_LATIN = re.compile("[A-Za-z\u00c0-\u024f]")
+_NOT_LATIN = re.compile("[\u0250-\uffff]")
+_OF_SCRIPT = [(s, re.compile(f"[{a}-{b}]")) for s, a, b in _SCRIPTS]
+
+
 def script(par: str) -> str:
-    """The script that a paragraph is written in, by its first letters outside Latin (names may be Latin anywhere)."""
-    counts: Counter = Counter()
-    for x in par[:400]:
-        if x.isalpha():
-            counts["Latn" if x < "\u0250" else next((s for s, a, b in _SCRIPTS if a <= x <= b), "Zyyy")] += 1
-    other = {s: n for s, n in counts.items() if s != "Latn"}
-    if other and sum(other.values()) * 4 >= counts["Latn"]:
+    """The script that a paragraph is written in, by its first characters outside Latin (names may be Latin anywhere)."""
+    head = par[:400]
+    if not _NOT_LATIN.search(head):
+        return "Latn"
+    other = {s: n for s, p in _OF_SCRIPT if (n := len(p.findall(head)))}
+    if other and sum(other.values()) * 4 >= len(_LATIN.findall(head)):
         return "Jpan" if "Jpan" in other else max(other, key=other.get)
     return "Latn"
 
@@ -169,7 +176,7 @@ def stops(par: str) -> Iterator[Stop]:
     for m in _CAND.finditer(par):
         i, end = m.start(), m.end()
         run = m.group()
-        mark = run.rstrip("".join(_CLOSERS) + " \t\n\r\u00a0\u202f")
+        mark = run.rstrip(_AROUND)
         k = bisect_right(starts, i) - 1
         quoted = k >= 0 and ends[k] > i
         if quoted:
@@ -203,7 +210,7 @@ def stops(par: str) -> Iterator[Stop]:
         lead = begin
         while lead < n and par[lead].isspace():
             lead += 1
-        broken = bool(re.match(r"[^\S\n\r]*[\n\r]", par[end : end + 200]))
+        broken = spaced and _BROKEN.match(par, end, end + _BACK) is not None
         yield Stop(end, word, nxt, look, mark, spaced, broken, quoted and starts[k] <= lead)
         begin = end
 
@@ -364,7 +371,7 @@ def split(text: str | None, lang: str | None, model: Model) -> list[tuple[int, i
             scr = script(part)
             keys = (language(lang, scr), scr)
             cuts = [s.end for s in stops(part) if ends_sentence(s, keys, model)]
-            if scr == "Thai" or re.search(f"[{_UNSPACED}]", part):
+            if _ANY_UNSPACED.search(part):
                 starts, ends = _depths(part)
                 for m in [*_SPACED.finditer(part), *_SPACED_LATIN.finditer(part)]:
                     k = bisect_right(starts, m.start()) - 1
