@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 NOT_STATED = ("", "unknown", "n/a", "na", "none", "nan", "not reported")
 
 
+#: Unicode's white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """``c`` without outer white space of any kind (tabs, line breaks and no-break spaces too)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def norm_key(c: Column) -> Column:

@@ -29,12 +29,12 @@ def integer_key(cols: list[Column]) -> list[Column]:
     The number is made of the key's last digits (15 at most); the family holds all else, and how many digits there
     are. A key without digits is a family of its own.
     """
-    key = F.concat_ws("\u0001", *[norm_key(c) for c in cols])
-    pattern = r"(?s)^(.*?)([0-9]{1,15})([^0-9]*)$"
-    digits = F.regexp_extract(key, pattern, 2)
-    family = F.when(digits == "", key).otherwise(
-        F.concat_ws("\u0002", F.regexp_extract(key, pattern, 1), F.length(digits).cast("string"), F.regexp_extract(key, pattern, 3))
-    )
+    # control characters that stand for something here are escaped, so that no two keys become one
+    escaped = [F.replace(F.replace(F.replace(norm_key(c), F.lit("\u0003"), F.lit("\u0003c")), F.lit("\u0002"), F.lit("\u0003b")), F.lit("\u0001"), F.lit("\u0003a")) for c in cols]
+    key = F.concat_ws("\u0001", *escaped)
+    tail = r"([0-9]{1,15})([^0-9]*)\z"
+    digits = F.regexp_extract(key, tail, 1)
+    family = F.when(digits == "", key).otherwise(F.concat(F.length(digits).cast("string"), F.lit("\u0002"), F.regexp_replace(key, tail, "\u0002$2")))
     number = F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("bigint")).cast("bigint")
     return [family.alias("family"), number.alias("number"), F.floor(number / BLOCK).cast("bigint").alias("block")]
 

@@ -45,6 +45,6 @@ def test_edges(spark):
 def test_integer_keys_are_one_to_one(spark):
     from pyspark.sql import functions as F
 
-    keys = ["a1", "a01", "a10", "1", "", "a", "1a", "a1b2", "a1b", "9" * 40, "9" * 39 + "8", "a\n1", "a-1"]
+    keys = ["a1", "a01", "a10", "1", "", "a", "1a", "a1b2", "a1b", "9" * 40, "9" * 39 + "8", "a\n1", "a-1", "a\u0002b1", "a1b\u0002", "a\u0003b1", "a1b\u0003b", "\u0003", "\u0002", "\u0001"]
     df = spark.createDataFrame([(k,) for k in keys], "k string").select(*integer_key([F.col("k")]))
     assert len({(r.family, r.number) for r in df.collect()}) == len(keys)
