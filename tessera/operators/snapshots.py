@@ -130,20 +130,18 @@ def snapshot_changes(
         .withColumn("h2", F.xxhash64(F.lit("second"), "key"))
     )
     n = max(1, math.ceil(df.count() / bucket_rows))
-    compact = rows.select(
-        F.pmod("h1", F.lit(n)).cast("int").alias("bucket"), "snap", "n_snaps", "h1", "h2",
-        # a null at any place must differ from every text there
-        F.xxhash64(F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})).alias("value"),
-        F.coalesce("updated", F.lit(float("nan"))).alias("updated"),
-    )
+    # a null at any place must differ from every text there
+    value_hash = F.xxhash64(F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"}))
+    at = F.coalesce(F.nanvl("updated", F.lit(None).cast("double")), F.lit(float("-inf")))
+    # the row that counts per record and snapshot, combined map-side: a record of many rows never meets in one bucket
+    compact = rows.groupBy("snap", "n_snaps", "h1", "h2").agg(F.max(F.struct(at.alias("updated"), value_hash.alias("value"))).alias("m"))
+    compact = compact.select(F.pmod("h1", F.lit(n)).cast("int").alias("bucket"), "snap", "n_snaps", "h1", "h2", "m.value", "m.updated")
     diff = compact.groupBy("bucket").applyInArrow(_diff_arrow, _DIFF)
     diff = diff.withColumn("at", F.col("snap") - (F.col("kind") == 1).cast("int"))
-    full = rows.select(F.col("snap").alias("at"), "h1", "h2", F.concat_ws("|", *[strip(F.col(f"k{i}")) for i in range(len(keys))]).alias("record_key"))
+    full = rows.select(F.col("snap").alias("at"), "h1", "h2", F.concat_ws("|", *[strip(F.col(f"k{i}")) for i in range(len(keys))]).alias("record_key")).groupBy("at", "h1", "h2").agg(F.min("record_key").alias("record_key"))
     dates = deliveries.select("snap", F.col("snap_date"))
     return (
         diff.join(full, ["at", "h1", "h2"])
-        .groupBy("snap", "kind", "h1", "h2")
-        .agg(F.min("record_key").alias("record_key"))
         .join(dates, "snap")
         .select("snap_date", "record_key", F.element_at(F.array(*map(F.lit, _KINDS)), F.col("kind") + 1).alias("change_kind"))
     )

@@ -187,7 +187,7 @@ def age_days(meta: DataFrame, sources: DataFrame) -> DataFrame:
     """
     notes = sources.select(norm_key(F.col("name")).alias("_src"), unit_in_notes(F.col("notes")).alias("_default")).groupBy("_src").agg(F.max("_default").alias("_default"))
     num = F.nanvl(F.col("age_num").cast("double"), F.lit(None).cast("double"))
-    df = meta.select("meta_id", num.alias("num"), F.when(stated(F.col("age_unit")), unit_of(F.col("age_unit"))).alias("named"), F.coalesce(norm_key(F.col("source")), F.lit("")).alias("_src"), "evidence")
+    df = meta.select("meta_id", num.alias("num"), F.when(stated(F.col("age_unit")), unit_of(F.col("age_unit"))).alias("named"), norm_key(F.col("source")).alias("_src"), "evidence")
     needed = F.when(F.col("num").isNull() | F.col("named").isNull(), F.col("evidence"))
     df = df.withColumn("ev", age_in_text(needed)).drop("evidence").join(small(notes), "_src", "left")
     cand = lambda u: F.struct(u.alias("unit"), days_of(u).alias("factor"))

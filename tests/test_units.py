@@ -66,6 +66,10 @@ def test_empty_and_repeated(spark):
     assert ages(spark, [("GEO", 1.0, "d", None)], []) == {0: 1}
 
 
+def test_a_null_archive_is_none(spark):
+    assert ages(spark, [(None, 3.0, None, None), ("", 3.0, None, None)], [("", "ages in weeks"), (None, "ages in days")]) == {1: 21}
+
+
 def test_notes(spark):
     for note, unit in (("a bare age number there counts years.", "year"), ("Age column of the export = days since birth (unit left off).", "day"), ("Submitters fill the age box in weeks; the box shows no unit.", "week"), ("updated every month", None), (None, None)):
         assert spark.range(1).select(unit_in_notes(F.lit(note).cast("string"))).first()[0] == unit
