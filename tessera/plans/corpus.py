@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import norm_key
 from tessera.operators.orphans import orphans
 from tessera.operators.snapshots import snapshot_changes
-from tessera.operators.units import DAYS, age_days, age_in_text, group_units
+from tessera.operators.units import DAYS, age_days, age_in_text, group_units, unit_of
 from tessera.sources.tables import table
 
 
@@ -20,7 +20,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p1_archive_units(spark: SparkSession, folder: str) -> DataFrame:
     """The unit of each archive's bare ages, found from rows that also state the age in words."""
     ages = {u: d for u, d in DAYS.items() if u != "decade"}
-    meta = table(spark, folder, "sample_meta").where(F.col("age_num") > 0)
+    meta = table(spark, folder, "sample_meta").where((F.col("age_num") > 0) & unit_of(F.coalesce("age_unit", F.lit(""))).isNull())
     known = meta.select(norm_key(F.col("source")).alias("source"), "age_num", age_in_text(F.col("evidence"))["days"].alias("known")).where("known > 0")
     return group_units(known, ["source"], {"num": (F.col("age_num"), ages, 1.0), "known": (F.col("known"), {"day": 1.0}, -1.0)})
 

@@ -148,7 +148,7 @@ SQL = {
       m AS (SELECT sample, axis, min(d) AS least, max(v) - min(v) AS ext FROM d GROUP BY 1, 2), q AS (SELECT d.sample, d.axis, d, ext, CAST(round_even(d / least, 0) AS INT) AS q FROM d JOIN m USING (sample, axis) WHERE d IS NOT NULL),
       o AS (SELECT sample, axis, q FROM (SELECT sample, axis, q, row_number() OVER (PARTITION BY sample, axis ORDER BY count(*) DESC, q) AS r FROM q WHERE q <= 20 GROUP BY 1, 2, 3) WHERE r = 1)
       SELECT sample, axis, round(quantile_cont(d, 0.5), 6) AS pitch, CAST(round_even(any_value(ext) / quantile_cont(d, 0.5), 0) AS INT) + 1 AS rows FROM q JOIN o USING (sample, axis, q) GROUP BY 1, 2""",
-    "grid_geometry": f"WITH {_G} SELECT k AS sample, bin AS bin_um, CASE WHEN um IS NOT NULL THEN CASE WHEN big THEN 11.0 ELSE 6.5 END END AS capture_mm, verdict FROM x",
+    "grid_geometry": f"WITH {_G} SELECT k AS sample, bin AS bin_um, CAST(CASE WHEN um IS NOT NULL THEN CASE WHEN big THEN 11.0 ELSE 6.5 END END AS DOUBLE) AS capture_mm, verdict FROM x",
     "coordinate_scale": f"WITH {_G} SELECT k AS sample, round(r * bin / greatest(xr, yr), 6) AS um_per_unit, CASE WHEN r * bin / greatest(xr, yr) BETWEEN 0.8 AND 1.25 THEN 'microns' WHEN r * bin IS NOT NULL THEN 'pixels' ELSE 'unknown' END AS coord_units FROM x",
     "technology_resolved": f"""WITH {_G}, t AS (SELECT k, CASE WHEN verdict = 'hd_grid' THEN 'Visium HD' WHEN verdict = 'not_visium_hd' THEN 'Visium' WHEN k % 3 = 0 THEN CASE WHEN k % 4 < 3 THEN 'Visium HD' WHEN k % 7 = 0 THEN 'Xenium' WHEN k % 2 = 0 THEN 'cell-level WTA' ELSE 'cell-level (unknown platform)' END ELSE 'unknown' END AS n FROM x)
       SELECT k AS sample, CASE WHEN n = 'unknown' AND k % 5 <> 0 AND k % 2 = 0 THEN 'Visium' ELSE n END AS technology, n = 'unknown' AND k % 5 <> 0 AND k % 2 = 0 AS kept FROM t""",
