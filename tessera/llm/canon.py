@@ -94,8 +94,8 @@ def near_pairs(values: DataFrame, refs: DataFrame) -> DataFrame:
     size = F.length("form")
     probes = values.select("field_name", "form", F.explode(F.sequence(size - K, size + K)).alias("len")).where(F.col("len") >= LEAST)
     made = F.flatten(F.array(*[_probe(i) for i in range(K + 1)]))
-    probes = probes.select("field_name", "form", "len", F.explode(made).alias("x")).select("field_name", "form", "len", "x.i", "x.seg").distinct()
-    pairs = probes.join(segs, ["field_name", "len", "i", "seg"]).select("field_name", "form", "spelling", "term_id").distinct()
+    probes = probes.select("field_name", "form", "len", F.explode(made).alias("x")).select("field_name", "form", "len", "x.i", "x.seg")
+    pairs = probes.join(small(segs), ["field_name", "len", "i", "seg"]).select("field_name", "form", "spelling", "term_id").distinct()
     edits = F.levenshtein("form", "spelling", K)
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     swapped = (edits == 2) & (F.length("form") == F.length("spelling")) & (letters("form") == letters("spelling"))
