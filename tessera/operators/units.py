@@ -7,7 +7,7 @@ candidate units with the least log residual is chosen; a second combination with
 
 from __future__ import annotations
 
-from functools import reduce
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,22 +28,22 @@ def resolve_units(df: DataFrame, terms: dict[str, tuple[Column, Column, float]],
     combinations of a row are a product of the few candidates of each term, made inside the row. A row with a null
     or non-positive value, or no candidates for a term, gets null and 0. Everything stays in the JVM.
     """
-    combos: Column = F.array(F.struct(F.lit(0.0).alias("r"), F.create_map().cast("map<string,string>").alias("u")))
-    for name, (value, cands, power) in terms.items():
-        combos = _extended(combos, name, F.ln(F.when(value > 0, value)), cands, power)
+    combos: Column = F.array(F.struct(F.lit(0.0).alias("r"), F.array().cast("array<string>").alias("u")))
+    for value, cands, power in terms.values():
+        combos = _extended(combos, F.ln(F.when(value > 0, value)), cands, power)
     target = const if isinstance(const, Column) else F.lit(const)
-    scored = F.filter(F.transform(combos, lambda c: F.struct(F.abs(c["r"] - target).alias("r"), F.to_json(c["u"]).alias("u"))), lambda c: c["r"].isNotNull())
+    scored = F.filter(F.transform(combos, lambda c: F.struct(F.abs(c["r"] - target).alias("r"), c["u"].alias("u"))), lambda c: c["r"].isNotNull())
     out = df.withColumn("_scored", F.array_sort(scored))
     best = F.try_element_at("_scored", F.lit(1))
-    units = F.from_json(best["u"], ", ".join(f"{n} string" for n in terms))
+    units = F.when(best.isNotNull(), F.struct(*[best["u"][i].alias(n) for i, n in enumerate(terms)]))
     near = F.filter("_scored", lambda c: c["r"] <= F.col("_scored")[0]["r"] + tolerance)
     return out.withColumns({"units": units, "residual": best["r"], "n_solutions": F.when(best.isNull(), 0).otherwise(F.size(near))}).drop("_scored")
 
 
-def _extended(combos: Column, name: str, log: Column, cands: Column, power: float) -> Column:
+def _extended(combos: Column, log: Column, cands: Column, power: float) -> Column:
     """Every combination so far with every candidate of one more term."""
-    step = F.transform(cands, lambda c: F.struct((F.lit(power) * (log + F.ln(c["factor"]))).alias("r"), F.create_map(F.lit(name), c["unit"]).alias("u")))
-    both = lambda a: F.transform(step, lambda b: F.struct((a["r"] + b["r"]).alias("r"), F.map_concat(a["u"], b["u"]).alias("u")))
+    step = F.transform(cands, lambda c: F.struct((F.lit(power) * (log + F.ln(c["factor"]))).alias("r"), F.array(c["unit"]).alias("u")))
+    both = lambda a: F.transform(step, lambda b: F.struct((a["r"] + b["r"]).alias("r"), F.concat(a["u"], b["u"]).alias("u")))
     return F.flatten(F.transform(combos, both))
 
 
@@ -58,8 +58,6 @@ def group_units(df: DataFrame, groups: list[str], terms: dict[str, tuple[Column,
     for name, (value, factors, power) in terms.items():
         log = F.ln(F.when(value > 0, value))
         combos = [({**u, name: unit}, r + F.lit(power) * (log + F.ln(F.lit(f)))) for u, r in combos for unit, f in factors.items()]
-    import json
-
     aggs = [F.avg(F.abs(r - F.lit(const))).alias(f"_r{i}") for i, (_, r) in enumerate(combos)]
     out = df.groupBy(*groups).agg(F.count(combos[0][1]).alias("n_rows"), *aggs)
     ranked = F.array_sort(F.filter(F.array(*[F.struct(F.col(f"_r{i}").alias("r"), F.lit(json.dumps(u)).alias("u")) for i, (u, _) in enumerate(combos)]), lambda x: x["r"].isNotNull()))
