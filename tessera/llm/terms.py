@@ -96,7 +96,7 @@ def marked(counts: DataFrame, rare_below: int = 5, common_above: float = 0.2) ->
     from the counts.
     """
     total = counts.where((F.col("field_name") == ANY) & (F.col("term") == ANY)).agg(F.coalesce(F.max("records"), F.lit(0))).first()[0]
-    mark = F.when(F.col("records") < rare_below, "rare").when(F.col("records") > common_above * total, "common")
+    mark = F.when(F.col("records") < rare_below, "rare").when(F.col("records") / F.lit(float(max(total, 1))) > common_above, "common")
     return counts.where(F.col("field_name") != ANY).select("field_name", "term", "occurrences", "records", mark.alias("mark"))
 
 
