@@ -43,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -72,6 +73,7 @@ def persisted(df: DataFrame, name: str, partition_by: list[str] | None = None) -
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -79,6 +81,15 @@ def persisted(df: DataFrame, name: str, partition_by: list[str] | None = None) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> int:
+    """Delete what this application wrote with ``persisted``, once its results are no longer needed; returns how many."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Rebalance an input of few splits before a CPU-bound Python stage.
 
