@@ -35,6 +35,7 @@ _PAIRS = dict(zip(_CLOSE, _OPEN)) | {"”": "“", "»": "«", "“": "„", "
 _QUOTES_OPEN, _QUOTES_CLOSE = "“«„‘‹", "”»’›"
 _CLOSERS = _CLOSE + _QUOTES_CLOSE + "\"'"
 _OPENERS = _OPEN + _QUOTES_OPEN + "\"'¿¡"
+_BRACKETS = "([{（［｛【〔"
 _FULL = "。！？．｡।॥។။።"  # end a sentence without a space after them
 _STOPS = ".!?…‼⁇⁈⁉؟۔" + _FULL
 _CJK = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff豈-\ufaff]")
@@ -146,7 +147,7 @@ class Stop:
     mark: str
     spaced: bool
     broken: bool  # a line break follows
-    open_at_start: bool  # the stop closes a quotation or bracket that opened the sentence
+    open_at_start: bool  # the stop closes a quotation that opened the sentence
 
 
 def _look(par: str, at: int) -> tuple[str, str]:
@@ -211,7 +212,7 @@ def stops(par: str) -> Iterator[Stop]:
         while lead < n and par[lead].isspace():
             lead += 1
         broken = spaced and _BROKEN.match(par, end, end + _BACK) is not None
-        yield Stop(end, word, nxt, look, mark, spaced, broken, quoted and starts[k] <= lead)
+        yield Stop(end, word, nxt, look, mark, spaced, broken, quoted and starts[k] <= lead and par[starts[k]] not in _BRACKETS)
         begin = end
 
 
@@ -234,7 +235,7 @@ def ends_sentence(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
         if _CJK.match(s.nxt[:1] or " "):
             return mark[-1] in "!?" and not s.open_at_start
         return _unspaced(s, keys, model)
-    if s.open_at_start and s.look in "LNM":
+    if s.open_at_start and s.look in "LN":
         return False
     if s.look == "L":
         return False

@@ -42,6 +42,7 @@ def test_held_out_accuracy(model):
         ('The form says: "Keep it. Do not merge." We saw the edge.', ['The form says: "Keep it. Do not merge."', "We saw the edge."]),
         ("“Which one? The upper!” is all that it says. Was it gone?", ["“Which one? The upper!” is all that it says.", "Was it gone?"]),
         ("(All blocks came early.) The wash was long.", ["(All blocks came early.)", "The wash was long."]),
+        ("(All blocks came early.) p20-positive cells were rare. (比。)好。", ["(All blocks came early.)", "p20-positive cells were rare.", "(比。)", "好。"]),
         ('The warning ("Stop! Ever.") was ignored.', ['The warning ("Stop! Ever.") was ignored.']),
         ("Summary\n\nThe wash\nwas long.\n- see the edge", ["Summary", "The wash\nwas long.", "- see the edge"]),
         ("- Wash. Twice\n- Cut at 3.5 mm\n\n1. One\n2. Two. More", ["- Wash. Twice", "- Cut at 3.5 mm", "1. One", "2. Two. More"]),
