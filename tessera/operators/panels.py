@@ -100,3 +100,8 @@ def pair_coverage(entries: DataFrame, pairs: DataFrame) -> DataFrame:
     both = a.join(e.withColumnRenamed("gene", "b"), ["sample", "b"], "left_semi")
     n = both.groupBy("sample").agg(F.count("*").alias("n_pairs"))
     return e.select("sample").distinct().join(n, "sample", "left").select("sample", F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"))
+
+
+def pooled_panel(entries: DataFrame, group: str) -> DataFrame:
+    """Per group the genes that any of its panels holds, with how many panels hold them."""
+    return entries.groupBy(group, "gene").agg(F.count_distinct("sample").alias("panels"))

@@ -164,3 +164,15 @@ def loaders(files: DataFrame, name: Column, keys: list[str]) -> DataFrame:
     best = r.groupBy(*keys).agg(F.count("*").alias("n_files"), F.min(pick).alias("b"))
     loader = F.try_element_at(F.array(*[F.lit(x) for _, x in LOADERS]), F.col("b.r") + 1)
     return best.select(*keys, "n_files", loader.alias("loader"), F.when(loader.isNotNull(), F.col("b.name")).alias("file"), F.when(loader.isNull(), "no_recognised_matrix").otherwise("ok").alias("status"))
+
+
+class QualityError(ValueError):
+    """A share of rows is under its floor."""
+
+
+def require_share(df: DataFrame, ok: Column, least: float = 0.9, what: str = "rows") -> DataFrame:
+    """``df`` itself, if at least ``least`` of its rows are ``ok`` (null counts as not); an empty table is refused."""
+    n, good = df.agg(F.count("*"), F.count_if(F.coalesce(ok, F.lit(False)))).first()
+    if not n or good < least * n:
+        raise QualityError(f"{good} of {n} {what}")
+    return df

@@ -225,3 +225,8 @@ def extent(points: DataFrame, um_per_unit: Column) -> DataFrame:
     g = points.where(finite(F.col("x")) & finite(F.col("y"))).groupBy("sample").agg((F.max("x") - F.min("x")).alias("w"), (F.max("y") - F.min("y")).alias("h"), F.count("*").alias("n"))
     area = F.col("w") * um_per_unit * F.col("h") * um_per_unit / 1e6
     return g.select("sample", "n", r6(F.col("w")).alias("width"), r6(F.col("h")).alias("height"), r6(area).alias("area_mm2"), r6(F.col("n") / F.nullif(area, F.lit(0.0))).alias("per_mm2"))
+
+
+def thinned_spacing(nn: Column, kept: Column, all_: Column) -> Column:
+    """Spacing of all points from that of an even sample of them, which thins the plane by the root of the ratio."""
+    return nn * F.sqrt(kept / all_)

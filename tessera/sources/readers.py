@@ -214,3 +214,35 @@ def cached_reference(spark: SparkSession, path: str, want: list[str], fetch, gen
         spark.read.parquet(f"{path}/data.new").write.mode("overwrite").parquet(f"{path}/data")
         spark.createDataFrame([(g,) for g in genes], f"{gene_col} string").write.mode("overwrite").parquet(f"{path}/genes")
     return spark.read.parquet(f"{path}/data")
+
+
+def gene_names(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (ordinal, gene) of a feature file or of the header of a dense table, without reading its values."""
+    name = path.lower().removesuffix(".gz")
+    if name.endswith(".csv") or not any(k in name for k in ("features", "genes")):
+        sep = "\t" if name.endswith((".tsv", ".txt")) else ","
+        head = spark.read.text(path).limit(1).select(F.posexplode(F.split(F.col("value"), sep)).alias("ordinal", "gene"))
+        return head.where(~F.lower(F.col("gene")).isin(*ID_COLUMNS))
+    parts = F.split("line", "\t")
+    return lines(spark, path).select("ordinal", F.coalesce(F.try_element_at(parts, F.lit(2)), parts[0]).alias("gene"))
+
+
+def coordinate_ladder(candidates: list[tuple[str, DataFrame]], cells: DataFrame, key: str = "cell", least: float = 0.5) -> tuple[str | None, DataFrame | None]:
+    """The first table of positions (source name, DataFrame with ``key``, x, y) that at least ``least`` of the cells
+    are found in, joined to them; (None, None) if none is. One count per table tried."""
+    n = cells.count()
+    for name, table in candidates:
+        at = cells.join(table.dropDuplicates([key]), key)
+        if n and at.count() >= least * n:
+            return name, at
+    return None, None
+
+
+def spreadsheet_records(sheet: DataFrame, links: list[str], species: str = "species") -> DataFrame:
+    """Human rows of a sheet with their link: the first stated of ``links``, of a ';' list the first."""
+    from tessera.functions.names import link_accession, link_host
+    from tessera.functions.text import norm_key, stated
+
+    url = F.trim(F.split(F.coalesce(*[F.when(stated(F.col(c)), F.col(c)) for c in links]), ";")[0])
+    rows = sheet.where(norm_key(F.col(species)).isin("human", "homo sapiens", "homo_sapiens")).withColumn("link", url)
+    return rows.withColumns({"source": link_host(F.col("link")), "accession": link_accession(F.col("link"))})

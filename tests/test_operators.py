@@ -112,3 +112,29 @@ def test_ledger_order(spark):
     assert rows(relational.last_wins(d, ["k"], [F.col("i")])) == sorted((k, *max(((s, i) for q, s, i in r if q == k), key=lambda x: x[1])) for k in "ab")
     want = sorted((k, *min(((s, i) for q, s, i in r if q == k), key=lambda x: (("done", "failed", "x").index(x[0]), -x[1]))) for k in "ab")
     assert rows(relational.preferred_status(d, ["k"], "s", ["done", "failed"], [F.col("i")])) == want
+
+
+def test_guards(spark):
+    import pytest
+
+    d = spark.createDataFrame([(1,), (2,), (None,)], "x bigint")
+    assert quality.require_share(d, F.col("x") > 0, 0.6) is d
+    for bad, least in ((d, 0.7), (d.limit(0), 0.0)):
+        with pytest.raises(quality.QualityError):
+            quality.require_share(bad, F.col("x") > 0, least)
+    base = spark.createDataFrame([("a", None), ("b", "v")], "k string, v string")
+    fill = spark.createDataFrame([("a", "new")], "k string, v string")
+    assert rows(relational.guarded_fill(base, fill, ["k"], "v", lambda c: c.isNull())) == [("a", "new"), ("b", "v")]
+    with pytest.raises(relational.OverwriteError):
+        relational.guarded_fill(base, spark.createDataFrame([("b", "new")], "k string, v string"), ["k"], "v", lambda c: c.isNull())
+
+
+def test_containment_join(spark):
+    l = spark.createDataFrame([("visium hd",), ("xenium",), ("ab",), (None,), ("",)], "t string")  # noqa: E741
+    r = spark.createDataFrame([("visium",), ("10x xenium v1",), ("xaby",), ("zzz",)], "s string")
+    assert rows(relational.containment_join(l, "t", r, "s")) == [("ab", "xaby"), ("visium hd", "visium"), ("xenium", "10x xenium v1")]
+
+
+def test_pooled_panels(spark):
+    e = spark.createDataFrame([("g", "s1", "A"), ("g", "s2", "A"), ("g", "s1", "B"), ("h", "s3", "A")], "organ string, sample string, gene string")
+    assert rows(panels.pooled_panel(e, "organ")) == [("g", "A", 2), ("g", "B", 1), ("h", "A", 1)]

@@ -98,3 +98,23 @@ def test_sinks(spark, tmp_path):
 def test_sidecars(spark, tmp_path):
     (tmp_path / "m.json").write_text('{\n"organ": "lung",\n"types": ["a", "b"]\n}')
     assert R.model_sidecars(spark, str(tmp_path)).first().organ == "lung"
+
+
+def test_gene_names_without_values(spark, tmp_path):
+    (tmp_path / "features.tsv").write_text("id1\tG1\nid2\n")
+    (tmp_path / "dense.csv").write_text("cell_id,G1,G2\n1,0,3\n")
+    assert [r.gene for r in R.gene_names(spark, str(tmp_path / "features.tsv")).orderBy("ordinal").collect()] == ["G1", "id2"]
+    assert [r.gene for r in R.gene_names(spark, str(tmp_path / "dense.csv")).orderBy("ordinal").collect()] == ["G1", "G2"]
+
+
+def test_coordinate_ladder(spark):
+    cells = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "cell string")
+    t = lambda *k: spark.createDataFrame([(x, 1.0, 2.0) for x in k], "cell string, x double, y double")
+    name, at = R.coordinate_ladder([("few", t("a")), ("half", t("a", "b", "b")), ("all", t("a", "b", "c", "d"))], cells)
+    assert name == "half" and at.count() == 2
+    assert R.coordinate_ladder([("none", t("z"))], cells) == (None, None)
+
+
+def test_spreadsheet(spark):
+    s = spark.createDataFrame([("Human", "unknown", "https://zenodo.org/record/5; x"), ("mouse", "a", "b"), ("homo sapiens", "GSE7 ncbi.nlm.nih.gov", None)], "species string, a string, b string")
+    assert sorted((r.source, r.accession) for r in R.spreadsheet_records(s, ["a", "b"]).collect()) == [("GEO", "GSE7"), ("Zenodo", "zenodo:5")]
