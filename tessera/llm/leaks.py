@@ -112,13 +112,15 @@ class ItemIndex:
         found: dict[int, list[tuple[int, int]]] = defaultdict(list)
         if self.automaton is None or len(text) < self.run - self.errors:
             return found
-        done: dict[tuple[int, int], int] = {}  # exact passages: how far a diagonal is covered
+        done: dict[tuple[int, int], int] = {}  # how far a diagonal is covered, or its windows are looked at
         for end, places in self.automaton.iter(text):
             s = end + 1 - self.piece
             for i, p in places:
                 item = self.texts[i]
                 if self.errors:
-                    found[i] += self._near(item, p, text, s)
+                    start = done.get((i, s - p), 0)
+                    found[i] += self._near(item, p, text, s, start)
+                    done[i, s - p] = max(start, p + 1)
                     continue
                 if done.get((i, s - p), -1) > s:
                     continue
@@ -128,10 +130,10 @@ class ItemIndex:
                     found[i].append((a, b))
         return found
 
-    def _near(self, item: str, p: int, text: str, s: int) -> list[tuple[int, int]]:
-        """Windows of the item around a hit that lie in the text with no more errors than the budget."""
+    def _near(self, item: str, p: int, text: str, s: int, start: int) -> list[tuple[int, int]]:
+        """Windows of the item around a hit, from ``start`` on, that lie in the text with no more errors than the budget."""
         out, e = [], self.errors
-        for a in range(max(0, p + self.piece - self.run), min(p, len(item) - self.run) + 1):
+        for a in range(max(start, p + self.piece - self.run), min(p, len(item) - self.run) + 1):
             lo = s - (p - a) - e
             if myers(item[a : a + self.run], text[max(0, lo) : s - p + a + self.run + e]) <= e:
                 out.append((a, a + self.run))
