@@ -66,6 +66,19 @@ def top_values(df: DataFrame, col: str, k: int) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(k)
 
 
+def balance(rows: DataFrame, label: str, order: list[Column], most: int = 25_000, least: int = 50) -> DataFrame:
+    """Rows of the classes of at least ``least`` rows: all of them if these are ``most`` rows at most, else of each
+    class the first by ``order``, max(``least``, ``most`` / classes) of them. Rows without a class are left out.
+    """
+    big = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    n, classes = big.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")).first()
+    kept = rows.join(big.select(label), label, "left_semi")
+    if n <= most:
+        return kept
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(*order))
+    return kept.withColumn("_r", rank).where(F.col("_r") <= max(least, most // classes)).drop("_r")
+
+
 def composition(df: DataFrame, col: str, weight: Column, k: int) -> DataFrame:
     """The ``k`` heaviest values and one honest row for all the rest."""
     sums = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.sum(weight).alias("w"))

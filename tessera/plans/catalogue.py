@@ -275,13 +275,9 @@ def reference_coverage(spark, folder):
 
 
 def balance_cap(spark, folder):
-    """Classes of at least 50 rows, capped by hash order."""
-    from pyspark.sql.window import Window
-
+    """Classes of at least 50 rows; beyond 25,000 rows each is capped, by hash order, at max(50, 25,000 / classes)."""
     d = table(spark, folder, "embeddings").select("vec_id", "label")
-    big = d.groupBy("label").agg(F.count("*").alias("n")).where("n >= 20")
-    order = Window.partitionBy("label").orderBy(F.md5(F.col("vec_id").cast("string")), "vec_id")
-    return d.join(big.select("label"), "label", "left_semi").withColumn("r", F.row_number().over(order)).where("r <= 30").select("vec_id", "label")
+    return R.balance(d, "label", [F.md5(F.col("vec_id").cast("string")), F.col("vec_id")]).select("vec_id", "label")
 
 
 def priority_queue(spark, folder):
