@@ -281,9 +281,9 @@ def balance_cap(spark, folder):
 
 
 def priority_queue(spark, folder):
-    """Pending candidates, other archives before the largest, oldest first."""
+    """All pending candidates, other archives before the largest, oldest first."""
     c = table(spark, folder, "candidates").where(norm_key(F.col("status")) == "pending")
-    return c.orderBy((F.col("source") == "GEO").asc_nulls_first(), F.col("added").asc_nulls_last(), "cand_id").limit(100).select("cand_id", "source", "added")
+    return c.orderBy((F.col("source") == "GEO").asc_nulls_first(), F.col("added").asc_nulls_last(), "cand_id").select("cand_id", "source", "added")
 
 
 def usage_cost(spark, folder):

@@ -35,3 +35,10 @@ def test_balance_floor(spark):
     count = lambda **k: Counter(r.c for r in relational.balance(rows, "c", [F.col("id")], **k).collect())
     assert count(most=300, least=50) == {0: 100, 1: 100, 2: 100} and count(most=299, least=50) == {0: 99, 1: 99, 2: 99}
     assert count(most=90, least=50) == {0: 50, 1: 50, 2: 50} and count(most=90, least=101) == {}
+
+
+def test_priority_queue_is_the_whole_queue_in_order(spark, tmp_path):
+    rows = [(i, ("GEO", "Zenodo", None)[i % 3], None if i % 50 == 7 else f"2025-01-{i % 28 + 1:02d}", "failed" if i % 10 == 9 else " Pending") for i in range(500)]
+    folder = put(spark, tmp_path, "candidates", rows, "cand_id bigint, source string, added string, status string")
+    want = sorted((r[:3] for r in rows if r[3] == " Pending"), key=lambda r: (r[1] is not None, r[1] == "GEO", r[2] is None, r[2] or "", r[0]))
+    assert len(want) == 450 and [tuple(r) for r in catalogue.priority_queue(spark, folder).collect()] == want
