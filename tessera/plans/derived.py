@@ -45,10 +45,10 @@ def celltype_counts(spark, folder):
 
 
 def segment_queue(spark, folder):
-    """Deposits with an image and a matrix, smallest first, sizes unknown last."""
+    """All deposits with an image and a matrix, smallest first, sizes unknown last."""
     f = table(spark, folder, "files").where("accession IS NOT NULL")
     g = f.groupBy("accession").agg(F.bool_or(norm_key(F.col("role")) == "coords").alias("c"), F.bool_or(norm_key(F.col("role")) == "matrix").alias("m"), F.max("size_bytes").alias("largest"))
-    return g.where("c AND m").orderBy(F.col("largest").asc_nulls_last(), "accession").limit(100).select("accession", "largest")
+    return g.where("c AND m").orderBy(F.col("largest").asc_nulls_last(), "accession").select("accession", "largest")
 
 
 def refresh_changed(spark, folder):

@@ -6,7 +6,7 @@ from hashlib import md5
 from pyspark.sql import functions as F
 
 from tessera.operators import relational
-from tessera.plans import catalogue
+from tessera.plans import catalogue, derived
 
 
 def put(spark, folder, name, rows, schema):
@@ -42,3 +42,11 @@ def test_priority_queue_is_the_whole_queue_in_order(spark, tmp_path):
     folder = put(spark, tmp_path, "candidates", rows, "cand_id bigint, source string, added string, status string")
     want = sorted((r[:3] for r in rows if r[3] == " Pending"), key=lambda r: (r[1] is not None, r[1] == "GEO", r[2] is None, r[2] or "", r[0]))
     assert len(want) == 450 and [tuple(r) for r in catalogue.priority_queue(spark, folder).collect()] == want
+
+
+def test_segment_queue_reaches_deposits_of_unknown_size(spark, tmp_path):
+    rows = [(f"a{i:03d}", role, None if i == 5 else (i * 7919) % 1000) for i in range(150) for role in ("coords", " Matrix")] + [("half", "coords", 1), (None, "coords", 1), (None, "matrix", 1)]
+    folder = put(spark, tmp_path, "files", rows, "accession string, role string, size_bytes bigint")
+    want = sorted({(a, n) for a, _, n in rows if a not in (None, "half")}, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+    got = [tuple(r) for r in derived.segment_queue(spark, folder).collect()]
+    assert got == want and len(got) == 150 and got[-1] == ("a005", None)
