@@ -32,9 +32,9 @@ def resolved_records(spark, folder):
 
 
 def annotation_plan(spark, folder):
-    """Groups of samples by tissue and assay, largest first."""
+    """All groups of samples by tissue and assay, largest first."""
     m = table(spark, folder, "sample_meta").where(stated(F.col("tissue")))
-    return m.groupBy(N.tissue(F.col("tissue")).alias("organ"), "assay").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "organ", "assay").limit(200)
+    return m.groupBy(N.tissue(F.col("tissue")).alias("organ"), "assay").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "organ", "assay")
 
 
 def celltype_counts(spark, folder):

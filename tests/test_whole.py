@@ -50,3 +50,11 @@ def test_segment_queue_reaches_deposits_of_unknown_size(spark, tmp_path):
     want = sorted({(a, n) for a, _, n in rows if a not in (None, "half")}, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
     got = [tuple(r) for r in derived.segment_queue(spark, folder).collect()]
     assert got == want and len(got) == 150 and got[-1] == ("a005", None)
+
+
+def test_annotation_plan_holds_the_small_groups(spark, tmp_path):
+    rows = [(f"organ{i:03d}", assay) for i in range(150) for assay in ("x", None) for _ in range(1 + i % 3)] + [("n/a", "x"), (None, "x")]
+    folder = put(spark, tmp_path, "sample_meta", rows, "tissue string, assay string")
+    want = Counter(r for r in rows if r[0] not in (None, "n/a"))
+    want = sorted(((*k, n) for k, n in want.items()), key=lambda r: (-r[2], r[0], r[1] is not None))
+    assert len(want) == 300 and [tuple(r) for r in derived.annotation_plan(spark, folder).collect()] == want
