@@ -6,7 +6,7 @@ from hashlib import md5
 from pyspark.sql import functions as F
 
 from tessera.operators import relational
-from tessera.plans import catalogue, derived
+from tessera.plans import catalogue, derived, resolve
 
 
 def put(spark, folder, name, rows, schema):
@@ -58,3 +58,10 @@ def test_annotation_plan_holds_the_small_groups(spark, tmp_path):
     want = Counter(r for r in rows if r[0] not in (None, "n/a"))
     want = sorted(((*k, n) for k, n in want.items()), key=lambda r: (-r[2], r[0], r[1] is not None))
     assert len(want) == 300 and [tuple(r) for r in derived.annotation_plan(spark, folder).collect()] == want
+
+
+def test_pair_coverage_asks_for_every_neighbouring_pair(spark, tmp_path):
+    put(spark, tmp_path, "part", [(k,) for k in range(1, 13)], "p_partkey bigint")
+    held = {1: [1, 2, 3, 4, 5, 6], 2: [1, 3, 6, 7], 3: [2, 4], 4: [11, 12]}
+    folder = put(spark, tmp_path, "lineitem", [(s, k) for s, ks in held.items() for k in ks + ks[:1]], "l_suppkey bigint, l_partkey bigint")
+    assert {r["sample"]: r.n_pairs for r in resolve.pair_coverage(spark, folder).collect()} == {1: 5, 2: 1, 3: 0, 4: 1}
