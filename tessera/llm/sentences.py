@@ -67,12 +67,11 @@ _OF_SCRIPT = [(s, re.compile(f"[{a}-{b}]")) for s, a, b in _SCRIPTS]
 
 
 def script(par: str) -> str:
-    """The script that a paragraph is written in, by its first characters outside Latin (names may be Latin anywhere)."""
-    head = par[:400]
-    if not _NOT_LATIN.search(head):
+    """The script that a paragraph is written in, by all its letters (names may be Latin anywhere)."""
+    if not _NOT_LATIN.search(par):
         return "Latn"
-    other = {s: n for s, p in _OF_SCRIPT if (n := len(p.findall(head)))}
-    if other and sum(other.values()) * 4 >= len(_LATIN.findall(head)):
+    other = {s: n for s, p in _OF_SCRIPT if (n := len(p.findall(par)))}
+    if other and sum(other.values()) * 4 >= len(_LATIN.findall(par)):
         return "Jpan" if "Jpan" in other else max(other, key=other.get)
     return "Latn"
 

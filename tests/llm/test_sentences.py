@@ -98,3 +98,11 @@ def test_rows(spark):
     assert len(got) in (3, 5) and (None, 0, 1) in got
     assert sentences(df.limit(0)).count() == 0
     assert split("A. B", None, Model()) != []
+
+
+def test_script_of_a_paragraph_with_a_long_latin_head():
+    from tessera.llm.sentences import script
+
+    head = "GSE12345 Visium HD spatial transcriptomics of lung. " * 9
+    assert len(head) > 400 and script(head + "Ткань была заморожена сразу после операции. " * 20) == "Cyrl"
+    assert script("Ткань. " * 70 + head * 20) == "Latn" and script(head * 20 + "Ткань.") == "Latn" and script(head) == "Latn"
