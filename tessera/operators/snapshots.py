@@ -138,7 +138,10 @@ def snapshot_changes(
     compact = compact.select(F.pmod("h1", F.lit(n)).cast("int").alias("bucket"), "snap", "n_snaps", "h1", "h2", "m.value", "m.updated")
     diff = compact.groupBy("bucket").applyInArrow(_diff_arrow, _DIFF)
     diff = diff.withColumn("at", F.col("snap") - (F.col("kind") == 1).cast("int"))
-    full = rows.select(F.col("snap").alias("at"), "h1", "h2", F.concat_ws("|", *[strip(F.col(f"k{i}")) for i in range(len(keys))]).alias("record_key")).groupBy("at", "h1", "h2").agg(F.min("record_key").alias("record_key"))
+    diff = persisted(diff, "differences")
+    differing = small(diff.select("at", "h1", "h2").distinct())
+    full = rows.withColumn("at", F.col("snap")).join(differing, ["at", "h1", "h2"], "left_semi")
+    full = full.select("at", "h1", "h2", F.concat_ws("|", *[strip(F.col(f"k{i}")) for i in range(len(keys))]).alias("record_key")).groupBy("at", "h1", "h2").agg(F.min("record_key").alias("record_key"))
     dates = deliveries.select("snap", F.col("snap_date"))
     return (
         diff.join(full, ["at", "h1", "h2"])

@@ -60,3 +60,11 @@ def test_edges(spark):
 def test_locate_with_equal_first_halves():
     b1, b2 = np.array([1, 5, 5, 5, 9]), np.array([0, 1, 4, 8, 0])
     assert list(_locate(np.array([5, 5, 5, 2]), np.array([4, 8, 2, 0]), b1, b2)) == [2, 3, -1, -1]
+
+
+def test_keys_are_fetched_for_differences_only(spark):
+    rows = [(s, t(n), f"k{i}", "v" if n < 2 or i > 1 else "w", 1.0) for n, s in ((1, "a"), (2, "b")) for i in range(50)]
+    df = snapshot_changes(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), ["k"], ["v"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, df.collect())) == [("b", "k0", "changed"), ("b", "k1", "changed")]
+    assert "LeftSemi" in plan[plan.index("min(record_key") :]  # the rows meet the differences before their keys are grouped
