@@ -378,8 +378,10 @@ SQL = {
     "sample_cascade": r"SELECT file_id, coalesce(nullif(regexp_extract(url, '(GSM\d+)', 1), ''), nullif(regexp_extract(url, '/data/[^/]+/(.+)_\d+\.', 1), ''), accession) AS sample FROM files WHERE url IS NOT NULL",
     "name_patterns": r"SELECT regexp_replace(regexp_replace(regexp_extract(url, '([^/]*)$', 1), '^GSM\d+_', ''), '\d+', '#', 'g') AS pattern, count(*) AS n, count(DISTINCT accession) AS accessions, min(url) AS example FROM files WHERE url IS NOT NULL GROUP BY 1 ORDER BY n DESC, pattern LIMIT 80",
     "reference_coverage": "WITH c AS (SELECT DISTINCT lower(trim(source)) AS s, lower(trim(accession)) AS a FROM candidates WHERE source IS NOT NULL AND accession IS NOT NULL), d AS (SELECT lower(trim(source)) AS s, lower(trim(accession)) AS a, bool_or(lower(trim(verdict)) = 'ready') AS r FROM datasets WHERE accession IS NOT NULL GROUP BY 1, 2) SELECT c.s AS source, count(*) AS refs, count(d.s) AS known, count(*) FILTER (d.s IS NULL) AS new, count(*) FILTER (r) AS ready FROM c LEFT JOIN d ON c.s = d.s AND c.a = d.a GROUP BY 1",
-    "balance_cap": "SELECT vec_id, label FROM (SELECT vec_id, label, count(*) OVER (PARTITION BY label) AS n, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) AS r FROM embeddings) WHERE n >= 20 AND r <= 30",
-    "priority_queue": "SELECT cand_id, source, added FROM candidates WHERE lower(trim(status)) = 'pending' ORDER BY (source = 'GEO') NULLS FIRST, added NULLS LAST, cand_id LIMIT 100",
+    "balance_cap": """WITH c AS (SELECT label, count(*) AS n FROM embeddings WHERE label IS NOT NULL GROUP BY 1 HAVING count(*) >= 50), t AS (SELECT sum(n) AS total, count(*) AS classes FROM c),
+      r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) AS r FROM embeddings SEMI JOIN c USING (label))
+      SELECT vec_id, label FROM r, t WHERE total <= 25000 OR r <= greatest(50, 25000 // classes)""",
+    "priority_queue": "SELECT cand_id, source, added FROM candidates WHERE lower(trim(status)) = 'pending' ORDER BY (source = 'GEO') NULLS FIRST, added NULLS LAST, cand_id",
     "usage_cost": "SELECT event_type, round(sum(value * CASE event_type WHEN 'purchase' THEN 3.0 WHEN 'view' THEN 0.3 ELSE 1.0 END / 1e6), 6) AS usd, count(*) AS n FROM events GROUP BY 1",
     "record_dataset": f"""WITH o AS ({_LAST.format('<')}), n AS ({_LAST.format('>=')}), k AS (SELECT * FROM o WHERE NOT (dl_status = 'pending' AND EXISTS (SELECT 1 FROM n WHERE n.source = o.source AND n.accession = o.accession)))
       SELECT url, nullif(dl_status, '~') AS dl_status, file_id FROM (SELECT * FROM k UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.url = n.url))""",

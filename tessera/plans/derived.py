@@ -138,9 +138,9 @@ SQL = {
     "resolved_records": """SELECT meta_id, coalesce(nullif(trim(regexp_replace(lower(coalesce(assay, '')), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unknown') AS assay,
       CASE WHEN lower(trim(sex)) IN ('male', 'female') THEN lower(trim(sex)) WHEN species = 'homo_sapiens' THEN CASE WHEN regexp_matches(lower(coalesce(tissue, '')), 'cervix|uter|ovar|endometri|fallopian|oviduct|vagin|vulva|myometri|decidua') THEN 'female' WHEN regexp_matches(lower(coalesce(tissue, '')), 'prostat|testi|epididym|seminal|scrot|penis|spermat') THEN 'male' ELSE 'unknown' END ELSE 'unknown' END AS sex,
       CASE WHEN lower(trim(disease_state)) = 'healthy' THEN 'healthy' ELSE coalesce(disease_level1, 'unknown') END AS level1 FROM sample_meta""",
-    "annotation_plan": f"SELECT {_TISSUE} AS organ, assay, count(*) AS n FROM sample_meta WHERE {_st('tissue')} GROUP BY 1, 2 ORDER BY n DESC, organ, assay NULLS FIRST LIMIT 200",
+    "annotation_plan": f"SELECT {_TISSUE} AS organ, assay, count(*) AS n FROM sample_meta WHERE {_st('tissue')} GROUP BY 1, 2 ORDER BY n DESC, organ, assay NULLS FIRST",
     "celltype_counts": "SELECT user_id % 7 AS organ, count(DISTINCT user_id) AS sections, count(*) AS cells, count(DISTINCT event_type) AS types FROM events GROUP BY 1",
-    "segment_queue": "SELECT accession, max(size_bytes) AS largest FROM files WHERE accession IS NOT NULL GROUP BY 1 HAVING bool_or(lower(trim(role)) = 'coords') AND bool_or(lower(trim(role)) = 'matrix') ORDER BY largest NULLS LAST, accession LIMIT 100",
+    "segment_queue": "SELECT accession, max(size_bytes) AS largest FROM files WHERE accession IS NOT NULL GROUP BY 1 HAVING bool_or(lower(trim(role)) = 'coords') AND bool_or(lower(trim(role)) = 'matrix') ORDER BY largest NULLS LAST, accession",
     "refresh_changed": "SELECT url, min(lower(trim(dl_status))) AS least, max(lower(trim(dl_status))) AS most FROM files WHERE url IS NOT NULL GROUP BY 1 HAVING min(lower(trim(dl_status))) IS DISTINCT FROM max(lower(trim(dl_status)))",
     "conversion_plan": "SELECT CASE WHEN size_bytes > 500000000 THEN 'deferred' WHEN dl_status = 'done' THEN 'convert' ELSE 'wait' END AS plan, count(*) AS n, CAST(sum(size_bytes) AS BIGINT) AS bytes, min(size_bytes) AS smallest FROM files WHERE size_bytes IS NOT NULL GROUP BY 1",
     "added_fields": "SELECT 'candidates' AS \"from\", count(*) AS n, CAST(sum(CASE WHEN reason IS NULL THEN 1 ELSE 0 END + 2) AS BIGINT) AS missing FROM candidates UNION ALL SELECT 'datasets', count(*), CAST(sum(1 + CASE WHEN technology IS NULL THEN 1 ELSE 0 END + CASE WHEN tissue IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM datasets",

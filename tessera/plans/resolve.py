@@ -152,7 +152,7 @@ SQL = {
       SELECT status, seed, count(*) FILTER (i) AS n_panels, CAST(sum(CASE WHEN i THEN n ELSE 0 END) AS BIGINT) AS n_samples, CAST(sum(CASE WHEN i THEN 0 ELSE n END) AS BIGINT) AS n_excluded FROM j GROUP BY 1, 2""",
     "shared_genes_inner": "SELECT l_partkey AS gene FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag || l_linestatus) = (SELECT count(DISTINCT l_returnflag || l_linestatus) FROM lineitem)",
     "outer_null_not_zero": "SELECT l_partkey AS gene, sum(l_quantity) FILTER (l_returnflag = 'A') AS \"A\", sum(l_quantity) FILTER (l_returnflag = 'N') AS \"N\", sum(l_quantity) FILTER (l_returnflag = 'R') AS \"R\" FROM lineitem GROUP BY 1",
-    "pair_coverage": "WITH e AS (SELECT DISTINCT l_suppkey AS sample, l_partkey AS g FROM lineitem), n AS (SELECT a.sample, count(*) AS n FROM e a JOIN e b ON a.sample = b.sample AND a.g + 1 = b.g WHERE a.g % 5 = 0 GROUP BY 1) SELECT DISTINCT e.sample, coalesce(n, 0) AS n_pairs FROM e LEFT JOIN n USING (sample)",
+    "pair_coverage": "WITH e AS (SELECT DISTINCT l_suppkey AS sample, l_partkey AS g FROM lineitem), n AS (SELECT a.sample, count(*) AS n FROM e a JOIN e b ON a.sample = b.sample AND a.g + 1 = b.g GROUP BY 1) SELECT DISTINCT e.sample, coalesce(n, 0) AS n_pairs FROM e LEFT JOIN n USING (sample)",
     "dedupe_exact": f"WITH {_COPIES} SELECT * FROM c",
     "redundant_keys_antijoin": f"WITH {_COPIES} SELECT kind, count(*) AS n FROM documents d WHERE coalesce(text, '') <> '' AND NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = d.doc_id) GROUP BY 1",
     "dedupe_aggregate": "SELECT accession, round(own / units, 6) AS ratio, n AS n_siblings FROM (SELECT o_custkey AS accession, sum(u) AS units, count(*) AS n, sum(u) * CASE o_custkey % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 1.03 ELSE 1.2 END AS own FROM orders JOIN (SELECT l_orderkey, sum(l_quantity) AS u FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey GROUP BY 1) WHERE own / units <= 1.05",
