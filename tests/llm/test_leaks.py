@@ -69,3 +69,43 @@ def test_rows(spark):
     assert found(spark, docs, [(1, ITEM), (11, ITEM)], block_letters=1) == sorted(want + [(11, d) for _, d in want])
     assert found(spark, docs, []) == [] and found(spark, [], [(1, ITEM)]) == []
     assert found(spark, [(1, ITEM.replace("units", "unins").replace("vault", "vaut"))], [(1, ITEM)], errors=1, share=0.99) == [(1, 1)]
+
+
+def test_markup_of_any_length():
+    for tag in ('<a href="%s">' % ("u" * 400), "<!-- %s -->" % ("c " * 400), '<span title="%s" class=x>' % ("long words " * 60)):
+        assert dict(ItemIndex([(1, ITEM)], 20, 0).shares(f"{ITEM[:40]}{tag}{ITEM[40:60]}{tag}{ITEM[60:]}")) == {1: 1.0}
+    assert letters(f"[a](http://x.example/{'y' * 900}) b") == "ab"
+    assert len(letters("<!-- " * 200_000)) == 0 and len(letters("<a " * 200_000)) == 200_000  # linear time, nothing closed
+
+
+def test_items_that_share_an_opening():
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    opening = word(60)
+    items = [(i, opening + word(rng.randrange(50, 160))) for i in range(300)]
+    index = ItemIndex(items, 20, 0, share=0.5)
+    assert len(index.contexts) < 300 * 16  # the opening is one class a piece, not one an item
+    for text in (opening, opening + items[7][1][60:100], items[8][1], "xx" + items[9][1][70:]):
+        want = {(i, brute_share(t, text, 20)) for i, t in items}
+        got = {(i, x) for i, x in index.shares(text) if x >= 0.5}
+        assert got == {(i, x) for i, x in want if x >= 0.5}
+    assert len(index.shares(opening)) < 300
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab", max_size=10), st.text("ab", max_size=16), st.integers(0, 3))
+def test_myers_with_a_bound(p, t, k):
+    assert (myers(p, t, k) <= k) == (brute_distance(p, t) <= k)
+
+
+def test_planted_passages_with_edits_are_found():
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    items = [(i, word(200)) for i in range(40)]
+    index, hits = ItemIndex(items, 20, 1, share=0.5), 0
+    for i, t in items:
+        out, at = [], rng.randrange(20)
+        for k, x in enumerate(t):  # one edit in twenty-one letters
+            out.append(x if k % 21 != at % 21 else rng.choice(("", "é", x + "é")))
+        hits += (i, 1.0) in [(j, round(x, 1)) for j, x in index.shares(word(300) + "".join(out) + word(50))]
+    assert hits == 40
