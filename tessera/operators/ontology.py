@@ -8,21 +8,20 @@ from pyspark.sql import functions as F
 from tessera.session import persisted
 
 
-def closure(edges: DataFrame, rounds: int = 12) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """All (child, ancestor) pairs of (child, parent) edges, by doubling path lengths until nothing is new.
 
     Every round is written to the shared folder; a hierarchy of depth d takes log2(d) rounds. Cycles are harmless.
     """
     reach = persisted(edges.select("child", F.col("parent").alias("ancestor")).where("child <> parent").distinct(), "closure")
     n = reach.count()
-    for _ in range(rounds):
+    while True:
         step = reach.select("child", F.col("ancestor").alias("mid")).join(reach.select(F.col("child").alias("mid"), "ancestor"), "mid").select("child", "ancestor")
         reach = persisted(reach.union(step).where("child <> ancestor").distinct(), "closure")
         m = reach.count()
         if m == n:
-            break
+            return reach
         n = m
-    return reach
 
 
 def levels(terms: DataFrame, closed: DataFrame, level1: list[str], level2: list[str], other: str = "other") -> DataFrame:
