@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import norm_key
 from tessera.llm.bpe import encode
 from tessera.llm.canon import map_fields
 from tessera.llm.leaks import leaks
 from tessera.llm.sentences import sentences
-from tessera.llm.survivor import depths, survivors, transitions
+from tessera.llm.survivor import precedence, survivors, transitions
 from tessera.llm.terms import term_frequencies
 from tessera.sources.tables import table
 
@@ -42,18 +39,18 @@ SURVIVOR_FIELDS = ["title", "publication", "technology", "tissue", "disease", "n
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Survivor of each deposit; a null time is earliest, so there is nothing left to reason about."""
+    """Survivor of each deposit: the topologically latest value where a row without a time precedes all with one."""
     return survivors(table(spark, folder, "datasets"), table(spark, folder, "sources"), SURVIVOR_FIELDS)
 
 
+def p6_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Ordered pairs of values of each field, implied by the transitions that timestamped rows show."""
+    return precedence(transitions(table(spark, folder, "datasets"), "accession", "updated", SURVIVOR_FIELDS))
+
+
 def p6_currency(spark: SparkSession, folder: str) -> DataFrame:
-    """Survivor of each deposit where missing times are filled by learned value transitions (verdict, n_samples)."""
-    rows = table(spark, folder, "datasets").withColumn("accession", norm_key(F.col("accession")))
-    parts = []
-    for field in ("verdict", "n_samples"):
-        order = transitions(rows, "accession", "updated", field)
-        parts.append(depths(order).select(F.lit(field).alias("field_name"), "v", "depth"))
-    return survivors(rows, table(spark, folder, "sources"), SURVIVOR_FIELDS, currency=reduce(DataFrame.unionByName, parts))
+    """Survivor of each deposit where rows without a time are ordered by the learned transitions of values."""
+    return survivors(table(spark, folder, "datasets"), table(spark, folder, "sources"), SURVIVOR_FIELDS, order=p6_order(spark, folder))
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +78,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_currency, p7_ids, p8_shares, p8_found, p8_near, p9_found)}
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_order, p6_currency, p7_ids, p8_shares, p8_found, p8_near, p9_found)}
 
 _TERMS = """
   WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
@@ -98,7 +95,24 @@ _SURVIVOR = " UNION ALL ".join(
       WINDOW w AS (PARTITION BY lower(trim(d.accession)))) WHERE n >= 2 AND ok AND r = 1"""
     for f in SURVIVOR_FIELDS
 )
+_VALUES = " UNION ALL ".join(f"SELECT lower(trim(accession)) AS g, lower(trim(source)) AS s, rec_id, updated AS t, '{f}' AS field_name, CAST({f} AS VARCHAR) AS v FROM datasets WHERE accession IS NOT NULL AND {_STATED.format(f)}" for f in SURVIVOR_FIELDS)
+_ORDER = f"""vals AS ({_VALUES}), seq AS (SELECT DISTINCT g, field_name, t, v FROM vals WHERE t IS NOT NULL),
+  led AS (SELECT field_name, v AS older, lead(v) OVER w AS newer, t, lead(t) OVER w AS t2 FROM seq WINDOW w AS (PARTITION BY g, field_name ORDER BY t, v)),
+  steps AS (SELECT field_name, older, newer, count(*) AS support FROM led WHERE t2 > t AND newer <> older GROUP BY 1, 2, 3),
+  learned AS (SELECT a.* FROM steps a LEFT JOIN steps b ON a.field_name = b.field_name AND a.older = b.newer AND a.newer = b.older WHERE a.support >= 3 AND a.support > coalesce(b.support, 0)),
+  reach AS (SELECT field_name, older, newer FROM learned UNION SELECT r.field_name, r.older, l.newer FROM reach r JOIN learned l ON r.field_name = l.field_name AND r.newer = l.older),
+  ordered AS (SELECT * FROM reach a WHERE older <> newer AND NOT EXISTS (SELECT 1 FROM reach b WHERE b.field_name = a.field_name AND b.older = a.newer AND b.newer = a.older))"""
+_CURRENCY = f"""WITH RECURSIVE {_ORDER},
+  ranked AS (SELECT v.*, coalesce(s.trust_rank, 1000000) AS r FROM vals v LEFT JOIN sources s ON v.s = lower(trim(s.name))),
+  top AS (SELECT * FROM ranked QUALIFY r = min(r) OVER (PARTITION BY g, field_name)),
+  cand AS (SELECT * FROM top QUALIFY t IS NULL OR row_number() OVER (PARTITION BY g, field_name ORDER BY t DESC NULLS LAST, rec_id) = 1),
+  free AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM ordered o JOIN cand x ON x.g = c.g AND x.field_name = c.field_name AND x.v = o.newer WHERE o.field_name = c.field_name AND o.older = c.v)),
+  best AS (SELECT * FROM free QUALIFY row_number() OVER (PARTITION BY g, field_name ORDER BY t IS NULL, rec_id) = 1),
+  grp AS (SELECT lower(trim(accession)) AS g, min(rec_id) AS group_id FROM datasets WHERE accession IS NOT NULL GROUP BY 1 HAVING count(*) >= 2)
+  SELECT group_id, field_name, rec_id FROM best JOIN grp USING (g)"""
 SQL = {
+    "p6_order": f"WITH RECURSIVE {_ORDER} SELECT field_name, older, newer FROM ordered",
+    "p6_currency": _CURRENCY,
     "p3_terms": _TERMS,
     "p3_found": f"SELECT field_name, term, mark FROM ({_TERMS}) WHERE mark IS NOT NULL",
     "p6_found": _SURVIVOR,
