@@ -20,30 +20,34 @@ DAYS = {"day": 1.0, "week": 7.0, "month": 30.4375, "year": 365.25, "decade": 365
 MAX_AGE_DAYS = 120 * 365.25
 
 
-def resolve_units(df: DataFrame, terms: dict[str, tuple[Column, Column, float]], const: Column | float = 0.0, tolerance: float = 1e-6) -> DataFrame:
+def resolve_units(df: DataFrame, terms: dict[str, tuple[Column, Column, float]], const: Column | float = 0.0, tolerance: float = 1e-6, levels: bool = False) -> DataFrame:
     """Choose units for the identity ``sum(power * ln(value * factor)) = const`` row by row.
 
     ``terms``: name -> (value, array of candidate structs ``unit, factor``, power). Adds ``units`` (a struct of the
-    chosen unit per name), ``residual`` and ``n_solutions`` (combinations within ``tolerance`` of the best). The
-    combinations of a row are a product of the few candidates of each term, made inside the row. A row with a null
-    or non-positive value, or no candidates for a term, gets null and 0. Everything stays in the JVM.
+    chosen unit per name), ``residual``, ``fit`` (the struct of the least residual of all) and ``n_solutions``
+    (combinations within ``tolerance`` of that). With ``levels`` candidates are structs ``unit, factor, level``: a
+    combination of a lower sum of levels is chosen before one of a higher, whatever their residuals; then ``fit``
+    tells what the identity alone would choose. The combinations of a row are a product of the few candidates of
+    each term, made inside the row. A row with a null or non-positive value, or no candidates for a term, gets null
+    and 0. Everything stays in the JVM.
     """
-    combos: Column = F.array(F.struct(F.lit(0.0).alias("r"), F.array().cast("array<string>").alias("u")))
+    combos: Column = F.array(F.struct(F.lit(0.0).alias("r"), F.lit(0).alias("level"), F.array().cast("array<string>").alias("u")))
     for value, cands, power in terms.values():
-        combos = _extended(combos, F.ln(F.when(value > 0, value)), cands, power)
+        combos = _extended(combos, F.ln(F.when(value > 0, value)), cands, power, levels)
     target = const if isinstance(const, Column) else F.lit(const)
-    scored = F.filter(F.transform(combos, lambda c: F.struct(F.abs(c["r"] - target).alias("r"), c["u"].alias("u"))), lambda c: c["r"].isNotNull())
-    out = df.withColumn("_scored", F.array_sort(scored))
-    best = F.try_element_at("_scored", F.lit(1))
-    units = F.when(best.isNotNull(), F.struct(*[best["u"][i].alias(n) for i, n in enumerate(terms)]))
-    near = F.filter("_scored", lambda c: c["r"] <= F.col("_scored")[0]["r"] + tolerance)
-    return out.withColumns({"units": units, "residual": best["r"], "n_solutions": F.when(best.isNull(), 0).otherwise(F.size(near))}).drop("_scored")
+    scored = F.filter(F.transform(combos, lambda c: F.struct(c["level"].alias("level"), F.abs(c["r"] - target).alias("r"), c["u"].alias("u"))), lambda c: c["r"].isNotNull())
+    out = df.withColumn("_scored", scored)
+    out = out.withColumns({"_best": F.array_min("_scored"), "_fit": F.array_min(F.transform("_scored", lambda c: F.struct(c["r"].alias("r"), c["u"].alias("u"))))})
+    named = lambda c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(c)["u"][i].alias(n) for i, n in enumerate(terms)]))
+    near = F.filter("_scored", lambda c: c["r"] <= F.col("_fit")["r"] + tolerance)
+    return out.withColumns({"units": named("_best"), "residual": F.col("_best.r"), "fit": named("_fit"), "n_solutions": F.when(F.col("_best").isNull(), 0).otherwise(F.size(near))}).drop("_scored", "_best", "_fit")
 
 
-def _extended(combos: Column, log: Column, cands: Column, power: float) -> Column:
+def _extended(combos: Column, log: Column, cands: Column, power: float, levels: bool) -> Column:
     """Every combination so far with every candidate of one more term."""
-    step = F.transform(cands, lambda c: F.struct((F.lit(power) * (log + F.ln(c["factor"]))).alias("r"), F.array(c["unit"]).alias("u")))
-    both = lambda a: F.transform(step, lambda b: F.struct((a["r"] + b["r"]).alias("r"), F.concat(a["u"], b["u"]).alias("u")))
+    level = (lambda c: c["level"]) if levels else (lambda c: F.lit(0))
+    step = F.transform(cands, lambda c: F.struct((F.lit(power) * (log + F.ln(c["factor"]))).alias("r"), level(c).alias("level"), F.array(c["unit"]).alias("u")))
+    both = lambda a: F.transform(step, lambda b: F.struct((a["r"] + b["r"]).alias("r"), (a["level"] + b["level"]).alias("level"), F.concat(a["u"], b["u"]).alias("u")))
     return F.flatten(F.transform(combos, both))
 
 
@@ -51,7 +55,8 @@ def group_units(df: DataFrame, groups: list[str], terms: dict[str, tuple[Column,
     """Choose one combination of units per group (say, per archive) by the mean absolute log residual of its rows.
 
     ``terms``: name -> (value, unit -> factor, power). Returns the groups with ``units`` (JSON), ``residual``,
-    ``n_rows`` and ``unique``; false ``unique`` means that another combination fits as well within ``tolerance``.
+    ``n_rows``, ``unique`` (false means that another combination fits as well within ``tolerance``) and ``residuals``, an
+    array of all combinations (r, u).
     All combinations are columns of one aggregation, so a row is read once and a large group is combined map-side.
     """
     combos: list[tuple[dict[str, str], Column]] = [({}, F.lit(0.0))]
@@ -63,7 +68,7 @@ def group_units(df: DataFrame, groups: list[str], terms: dict[str, tuple[Column,
     ranked = F.array_sort(F.filter(F.array(*[F.struct(F.col(f"_r{i}").alias("r"), F.lit(json.dumps(u)).alias("u")) for i, (u, _) in enumerate(combos)]), lambda x: x["r"].isNotNull()))
     out = out.withColumn("_ranked", ranked).where(F.size("_ranked") > 0)
     second = F.try_element_at("_ranked", F.lit(2))
-    return out.select(*groups, F.col("_ranked")[0]["u"].alias("units"), F.col("_ranked")[0]["r"].alias("residual"), "n_rows", (second.isNull() | (second["r"] > F.col("_ranked")[0]["r"] + tolerance)).alias("unique"))
+    return out.select(*groups, F.col("_ranked")[0]["u"].alias("units"), F.col("_ranked")[0]["r"].alias("residual"), "n_rows", (second.isNull() | (second["r"] > F.col("_ranked")[0]["r"] + tolerance)).alias("unique"), F.col("_ranked").alias("residuals"))
 
 
 # ---- ages ----------------------------------------------------------------------------------------------------
@@ -120,86 +125,120 @@ def _replaced(c: Column) -> Column:
     return c
 
 
-def parse_age(clause: Column) -> Column:
-    """Struct (days, value, unit, unit2) of the age that a clause states; null if it states none.
+_SEP = r"[ -]*"
+#: Known forms of a stated age, tried in this order: pattern, and its groups of (number, second number, unit word).
+_FORMS = {
+    "pair": (rf"{_NUM}{_SEP}(?:years?|yrs?|y)\W+(?:and )?{_NUM}{_SEP}(?:months?|mos?|mths?)\b", (1, 2, 0)),
+    "span": (rf"{_NUM}\s*(?:-|–|—|to|and)\s*{_NUM}{_SEP}{_ANY_UNIT}", (1, 2, 3)),
+    "nth": (r"(\d+)(?:st|nd|rd|th) decade", (1, 0, 0)),
+    "tens": (r"\b(\d+0)'?s\b", (1, 0, 0)),
+    "lead": (rf"\b(pcw|gw)\s*{_NUM}", (2, 0, 1)),
+    "plain": (rf"{_NUM}{_SEP}{_ANY_UNIT}", (1, 0, 2)),
+    "bare": (rf"\bage[sd]?(?:[_ ]at[_ ]\w+)?[:= ]+{_NUM}\s*$", (1, 0, 0)),
+}
 
-    Known forms: a number and a unit, years and months, a range (its midpoint), a decade (its middle), weeks
-    after conception, a decimal comma; number words must have become digits (``digits_for_words``). ``unit2`` is the lesser unit of 'years and months'.
-    """
-    t = clause
-    sep = r"[ -]*"
-    pair = rf"{_NUM}{sep}(?:years?|yrs?|y)\W+(?:and )?{_NUM}{sep}(?:months?|mos?|mths?)\b"
-    span = rf"{_NUM}\s*(?:-|–|—|to|and)\s*{_NUM}{sep}{_ANY_UNIT}"
-    nth = r"(\d+)(?:st|nd|rd|th) decade"
-    tens = r"\b(\d+0)'?s\b"
-    lead = rf"\b(pcw|gw)\s*{_NUM}"
-    plain = rf"{_NUM}{sep}{_ANY_UNIT}"
-    bare = rf"\bage[sd]?(?:[_ ]at[_ ]\w+)?[:= ]+{_NUM}\s*$"
-    g = lambda p, i: F.regexp_extract(t, p, i)
-    num = lambda p, i: _number(g(p, i))
-    none = F.lit(None).cast("string")
-
-    def age(days: Column, value: Column, unit: Column, unit2: Column = none) -> Column:
-        return F.struct(days.alias("days"), value.alias("value"), unit.alias("unit"), unit2.alias("unit2"))
-
-    factor = days_of
-    mid = (num(span, 1) + num(span, 2)) / 2
-    return (
-        F.when(t.rlike(pair), age(num(pair, 1) * DAYS["year"] + num(pair, 2) * DAYS["month"], num(pair, 1), F.lit("year"), F.lit("month")))
-        .when(t.rlike(span), age(mid * factor(unit_of(g(span, 3))), mid, unit_of(g(span, 3))))
-        .when(t.rlike(nth), age((num(nth, 1) * 10 - 5) * DAYS["year"], num(nth, 1) * 10 - 5, F.lit("year")))
-        .when(t.rlike(tens), age((num(tens, 1) + 5) * DAYS["year"], num(tens, 1) + 5, F.lit("year")))
-        .when(t.rlike(lead), age(num(lead, 2) * DAYS["week"], num(lead, 2), F.lit("week")))
-        .when(t.rlike(plain), age(num(plain, 1) * factor(unit_of(g(plain, 2))), num(plain, 1), unit_of(g(plain, 2))))
-        .when(t.rlike(bare), age(F.lit(None).cast("double"), num(bare, 1), none))
-    )
 
+def _form(t: Column) -> Column:
+    """Struct (form, a, b, word) of the first known form that a clause has; null if it has none."""
+    found = None
+    for name, (pattern, groups) in _FORMS.items():
+        parts = [F.regexp_extract(t, pattern, i) if i else F.lit("") for i in groups]
+        hit = F.struct(F.lit(name).alias("form"), *[x.alias(n) for x, n in zip(parts, ("a", "b", "word"))])
+        found = F.when(t.rlike(pattern), hit) if found is None else found.when(t.rlike(pattern), hit)
+    return found
 
-def days_of(unit: Column) -> Column:
-    return F.coalesce(*[F.when(unit == u, F.lit(d)) for u, d in DAYS.items()])
 
+def with_age(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """``df`` with a struct ``name`` (days, value, unit, unit2) of the first age of the donor that a text states.
 
-def age_in_text(text: Column) -> Column:
-    """The first age of the donor that a free text states, as ``parse_age``; other durations do not count."""
-    clauses = F.split(digits_for_words(F.lower(text)), r"\s*(?:;|\||\n)\s*|[.,]\s+")
-    ages = F.filter(clauses, lambda c: c.rlike(_CUE) & ~c.rlike(_OTHER))
-    ages = F.filter(F.transform(ages, parse_age), lambda a: a.isNotNull())
-    return F.try_element_at(ages, F.lit(1))
+    Forms are a number and a unit, years and months, a range (its midpoint), a decade (its middle), weeks after
+    conception, a decimal comma, number words. ``unit2`` is the lesser unit of 'years and months'; ``days`` is null
+    where no unit is written; other durations do not count. Each step is a projection of its own, so that no pattern
+    is matched twice.
+    """
+    low = F.lower(text)
+    clauses = F.split(digits_for_words(low), r"\s*(?:;|\||\n)\s*|[.,]\s+")
+    about = F.filter(clauses, lambda c: c.rlike(_CUE) & ~c.rlike(_OTHER))
+    # a clause with a cue makes a text with one
+    out = df.withColumn("_form", F.when(low.rlike(_CUE), F.try_element_at(F.filter(F.transform(about, _form), lambda a: a.isNotNull()), F.lit(1))))
+    form = F.col("_form.form")
+    out = out.withColumns({"_a": _number(F.col("_form.a")), "_b": _number(F.col("_form.b")), "_unit": F.when(form.isin("span", "lead", "plain"), unit_of(F.col("_form.word"))).when(form.isin("pair", "nth", "tens"), "year")})
+    a, b = F.col("_a"), F.col("_b")
+    value = F.when(form == "span", (a + b) / 2).when(form == "nth", a * 10 - 5).when(form == "tens", a + 5).otherwise(a)
+    days = F.when(form == "pair", a * DAYS["year"] + b * DAYS["month"]).otherwise(value * days_of(F.col("_unit")))
+    age = F.struct(days.alias("days"), value.alias("value"), F.col("_unit").alias("unit"), F.when(form == "pair", "month").alias("unit2"))
+    return out.withColumn(name, F.when(form.isNotNull(), age)).drop("_form", "_a", "_b", "_unit")
+
+
+def with_stage_days(df: DataFrame, stage: Column, name: str) -> DataFrame:
+    """``df`` with the days that a development stage states ('7-month-old stage', 'age 34 years'), null if none."""
+    pattern, (n, _, word) = _FORMS["plain"]
+    low = F.lower(stage)
+    out = df.withColumns({"_n": _number(F.regexp_extract(low, pattern, n)), "_unit": F.regexp_extract(low, pattern, word)})
+    return out.withColumn("_unit", unit_of(F.col("_unit"))).withColumn(name, F.col("_n") * days_of(F.col("_unit"))).drop("_n", "_unit")
+
+
+def days_of(unit: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in DAYS.items() for x in pair]), unit)
 
 
-def unit_in_notes(notes: Column) -> Column:
-    """The unit that an archive's notes give for its ages: that of the last unit word of a sentence about age."""
+def units_in_notes(notes: Column) -> Column:
+    """The units (array, the last one first) that an archive's notes name, if they speak of ages; else null."""
     words = "|".join(f"(?:{w})" for w in ("decades?", "months?", "weeks?", "days?", "years?"))
     found = F.regexp_extract_all(F.lower(notes), F.lit(rf"\b({words})\b"), F.lit(1))
-    return F.when(F.lower(notes).rlike(r"\bages?\b"), unit_of(F.try_element_at(found, F.lit(-1))))
+    return F.when(F.lower(notes).rlike(r"\bages?\b"), F.filter(F.transform(F.reverse(found), unit_of), lambda u: u.isNotNull()))
 
 
-def age_days(meta: DataFrame, sources: DataFrame) -> DataFrame:
-    """Rows (meta_id, age_days, unit, n_solutions, residual): the donor's age in days for every stated age.
+def bare_ages(meta: DataFrame) -> DataFrame:
+    """Rows (source, num, known) with a number, no named unit and an age that the development stage states."""
+    df = meta.where((F.col("age_num") > 0) & ~F.isnan("age_num")).select(norm_key(F.col("source")).alias("source"), F.col("age_num").cast("double").alias("num"), "age_unit", "development_stage")
+    df = df.where(unit_of(F.coalesce("age_unit", F.lit(""))).isNull())
+    return with_stage_days(df, F.col("development_stage"), "known").where("source IS NOT NULL AND known > 0").select("source", "num", "known")
+
+
+def archive_units(meta: DataFrame) -> DataFrame:
+    """Per archive the unit of its bare ages (source, units, residual, n_rows, unique) by the identity "age_num x
+    unit = age of the development stage", with the mean residual of every unit (``residuals``)."""
+    ages = {u: d for u, d in DAYS.items() if u != "decade"}
+    return group_units(bare_ages(meta), ["source"], {"num": (F.col("num"), ages, 1.0), "known": (F.col("known"), {"day": 1.0}, -1.0)})
+
 
-    The unit of ``age_num`` is the one that ``age_unit`` names; else, of the units written with the age in
-    ``evidence``, the one for which the identity "age_num * unit = the age in evidence" has the least log residual;
-    else the archive's. A null or NaN ``age_num`` leaves the age in evidence. Negative ages and ages above 120 years
-    are no ages, so the row is left out, as is a row without any age. Ages round half up. ``sources`` is a registry
-    of one row per archive: it is broadcast if it is counted to be small, else joined by shuffle.
+def archive_defaults(meta: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows (source, unit): of the units that an archive's notes name for its ages the one for which the archive's
+    own rows leave the least residual; without such rows, or between equals, the one named last."""
+    named = sources.select(norm_key(F.col("name")).alias("source"), F.posexplode(units_in_notes(F.col("notes"))).alias("at", "unit")).where("source IS NOT NULL")
+    fits = archive_units(meta).select("source", F.explode("residuals").alias("x")).select("source", F.get_json_object("x.u", "$.num").alias("unit"), F.round("x.r", 6).alias("r"))
+    best = F.min(F.struct(F.coalesce("r", F.lit(float("inf"))).alias("r"), "at", "unit"))
+    return named.join(fits, ["source", "unit"], "left").groupBy("source").agg(best.alias("m")).select("source", "m.unit")
+
+
+def age_days(meta: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows (meta_id, age_days, unit, fit, n_solutions, residual): the donor's age in days for every stated age.
+
+    Every unit is a candidate for ``age_num``. Those that ``age_unit`` names come before those written with the age
+    in ``evidence``, these before the archive's (``archive_defaults``), and any other is never taken; within a level
+    the identity "age_num x unit = the age in evidence, else that of the development stage" decides by its log
+    residual. ``fit`` is what the identity alone would choose, ``n_solutions`` how many units fit it equally well; both
+    and ``residual`` are null where no age is known from elsewhere. A null or NaN ``age_num`` leaves the age in
+    evidence. Negative ages and ages above 120 years are no ages, so the row is left out, as is a row without any
+    age. Ages round half up. ``sources`` is a registry of one row per archive: it is broadcast if it is counted to be
+    small, else joined by shuffle.
     """
-    notes = sources.select(norm_key(F.col("name")).alias("_src"), unit_in_notes(F.col("notes")).alias("_default")).groupBy("_src").agg(F.max("_default").alias("_default"))
+    default = small(archive_defaults(meta, sources).select(F.col("source").alias("_src"), F.col("unit").alias("_default")))
     num = F.nanvl(F.col("age_num").cast("double"), F.lit(None).cast("double"))
-    df = meta.select("meta_id", num.alias("num"), F.when(stated(F.col("age_unit")), unit_of(F.col("age_unit"))).alias("named"), norm_key(F.col("source")).alias("_src"), "evidence")
-    needed = F.when(F.col("num").isNull() | F.col("named").isNull(), F.col("evidence"))
-    df = df.withColumn("ev", age_in_text(needed)).drop("evidence").join(small(notes), "_src", "left")
-    cand = lambda u: F.struct(u.alias("unit"), days_of(u).alias("factor"))
-    written = F.filter(F.array(F.col("ev.unit"), F.col("ev.unit2")), lambda u: u.isNotNull())
-    chosen = F.when(F.col("named").isNotNull(), F.array("named")).when(F.size(written) > 0, written).when(F.col("_default").isNotNull(), F.array("_default"))
-    one = F.array(F.struct(F.lit("day").alias("unit"), F.lit(1.0).alias("factor")))
+    df = meta.select("meta_id", num.alias("num"), F.when(stated(F.col("age_unit")), unit_of(F.col("age_unit"))).alias("named"), norm_key(F.col("source")).alias("_src"), "evidence", "development_stage")
+    df = with_stage_days(with_age(df, F.col("evidence"), "ev"), F.col("development_stage"), "stage").join(default, "_src", "left")
+    level = lambda u: F.when(F.col("named") == u, 0).when((F.col("ev.unit") == u) | (F.col("ev.unit2") == u), 1).when(F.col("_default") == u, 2).otherwise(3)
+    cands = F.array(*[F.struct(F.lit(u).alias("unit"), F.lit(d).alias("factor"), level(u).alias("level")) for u, d in DAYS.items()])
+    one = F.array(F.struct(F.lit("day").alias("unit"), F.lit(1.0).alias("factor"), F.lit(0).alias("level")))
     value = F.when(F.col("num") > 0, F.col("num")).otherwise(F.lit(1.0))  # zero and below: the sign is judged later
-    known = F.coalesce(F.when(F.col("ev.days") > 0, F.col("ev.days")), value)
-    df = resolve_units(df, {"num": (value, F.transform(chosen, cand), 1.0), "known": (known, one, -1.0)})
+    elsewhere = F.coalesce(F.when(F.col("ev.days") > 0, F.col("ev.days")), F.when(F.col("stage") > 0, F.col("stage")))
+    df = df.withColumns({"elsewhere": elsewhere, "allowed": F.coalesce("named", "ev.unit", "_default")})
+    df = resolve_units(df, {"num": (value, cands, 1.0), "known": (F.coalesce("elsewhere", value), one, -1.0)}, levels=True)
     ev_days = F.coalesce("ev.days", F.col("ev.value") * days_of(F.coalesce("named", "_default")))
-    unit = F.when(F.col("num").isNotNull(), F.col("units.num")).otherwise(F.coalesce("ev.unit", "named", "_default"))
-    days = F.when(F.col("num").isNotNull(), F.col("num") * days_of(unit)).otherwise(ev_days)
-    return (
-        df.withColumn("d", F.round(days, 6))
-        .where(F.col("d").between(0.0, MAX_AGE_DAYS))
-        .select("meta_id", F.floor(F.col("d") + 0.5).cast("bigint").alias("age_days"), unit.alias("unit"), F.when(F.col("num").isNotNull(), F.col("n_solutions")).otherwise(1).alias("n_solutions"), F.when(F.col("num").isNotNull() & F.col("ev.days").isNotNull(), F.col("residual")).alias("residual"))
+    unit = F.when(F.col("num").isNotNull(), F.when(F.col("allowed").isNotNull(), F.col("units.num"))).otherwise(F.coalesce("ev.unit", "named", "_default"))
+    df = df.withColumn("unit", unit).withColumn("d", F.round(F.when(F.col("num").isNotNull(), F.col("num") * days_of(F.col("unit"))).otherwise(ev_days), 6))
+    told = lambda c: F.when((F.col("num") > 0) & F.col("elsewhere").isNotNull(), c)
+    return df.where(F.col("d").between(0.0, MAX_AGE_DAYS)).select(
+        "meta_id", F.floor(F.col("d") + 0.5).cast("bigint").alias("age_days"), "unit", told(F.col("fit.num")).alias("fit"), told(F.col("n_solutions")).alias("n_solutions"), told(F.col("residual")).alias("residual")
     )

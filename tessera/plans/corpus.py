@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import norm_key
 from tessera.operators.orphans import orphans
 from tessera.operators.snapshots import snapshot_changes
-from tessera.operators.units import DAYS, age_days, age_in_text, group_units, unit_of
+from tessera.operators.units import _NUM, _SEP, _UNIT_WORDS, DAYS, age_days, archive_units
 from tessera.sources.tables import table
 
 
@@ -17,12 +17,15 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return age_days(table(spark, folder, "sample_meta"), table(spark, folder, "sources")).select("meta_id", "age_days")
 
 
+def p1_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Ages whose unit the identity contradicts (another unit fits what is known from elsewhere better) or leaves open."""
+    ages = age_days(table(spark, folder, "sample_meta"), table(spark, folder, "sources")).where("fit IS NOT NULL")
+    return ages.where((F.col("n_solutions") > 1) | (F.col("fit") != F.col("unit"))).select("meta_id", "unit", "fit", "n_solutions", F.round("residual", 6).alias("residual"))
+
+
 def p1_archive_units(spark: SparkSession, folder: str) -> DataFrame:
-    """The unit of each archive's bare ages, found from rows that also state the age in words."""
-    ages = {u: d for u, d in DAYS.items() if u != "decade"}
-    meta = table(spark, folder, "sample_meta").where((F.col("age_num") > 0) & unit_of(F.coalesce("age_unit", F.lit(""))).isNull())
-    known = meta.select(norm_key(F.col("source")).alias("source"), "age_num", age_in_text(F.col("evidence"))["days"].alias("known")).where("known > 0")
-    return group_units(known, ["source"], {"num": (F.col("age_num"), ages, 1.0), "known": (F.col("known"), {"day": 1.0}, -1.0)})
+    """The unit of each archive's bare ages, found from rows whose development stage also states the age."""
+    return archive_units(table(spark, folder, "sample_meta")).select("source", F.get_json_object("units", "$.num").alias("unit"), F.round("residual", 6).alias("residual"), "n_rows", "unique")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +55,7 @@ def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     return p4_found(spark, folder).groupBy("table_name", "period").agg(F.count("*").alias("orphans"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_archive_units, p2_found, p4_found, p4_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_flags, p1_archive_units, p2_found, p4_found, p4_report)}
 
 _KEY = "lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g'))"
 
@@ -84,6 +87,22 @@ def _orphans_sql(name: str, row_id: str, keys: list[str], parent: str, removed:
       SELECT row_id, period FROM r WHERE k IS NOT NULL AND ends IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.k = r.k AND p.a < r.ends AND (p.b IS NULL OR p.b >= r.ends)))"""
 
 
+def _archive_units_sql() -> str:
+    words = "|".join(_UNIT_WORDS.values())
+    unit = lambda c: "CASE " + " ".join(f"WHEN regexp_matches({c}, '^([0-9]+ ?)?({w})([^a-zà-ÿ0-9]|$)') THEN '{u}'" for u, w in _UNIT_WORDS.items()) + " END"
+    named = _k("coalesce(age_unit, '')")
+    plain = f"'{_NUM}{_SEP}({words})([^a-zà-ÿ]|$)'"
+    days = "CASE u " + " ".join(f"WHEN '{u}' THEN {d}" for u, d in DAYS.items()) + " END"
+    tried = ", ".join(f"avg(abs(ln(num * {d}) - ln(known))) AS r_{u}" for u, d in DAYS.items() if u != "decade")
+    listed = ", ".join(f"{{'r': r_{u}, 'u': '{u}'}}" for u in DAYS if u != "decade")
+    return f"""WITH s AS (SELECT {_k('source')} AS source, age_num AS num, replace(regexp_extract(lower(development_stage), {plain}, 1), ',', '.') AS n, regexp_extract(lower(development_stage), {plain}, 2) AS w
+        FROM sample_meta WHERE age_num > 0 AND NOT isnan(age_num) AND source IS NOT NULL AND ({unit(named)}) IS NULL),
+      k AS (SELECT source, num, TRY_CAST(n AS DOUBLE) * {days} AS known FROM (SELECT *, {unit('w')} AS u FROM s)),
+      g AS (SELECT source, count(*) AS n_rows, {tried} FROM k WHERE known > 0 GROUP BY 1),
+      l AS (SELECT source, n_rows, list_sort([{listed}]) AS l FROM g)
+      SELECT source, l[1].u AS unit, round(l[1].r, 6) AS residual, n_rows, l[2].r > l[1].r + 0.05 AS "unique" FROM l"""
+
+
 _DEPOSIT = ["source", "accession"]
 _P4 = " UNION ALL ".join(
     (
@@ -93,6 +112,7 @@ _P4 = " UNION ALL ".join(
     )
 )
 SQL = {
+    "p1_archive_units": _archive_units_sql(),
     "p2_found": _changes_sql("dataset_snapshots", f"{_k('source')} || chr(1) || {_k('accession')}", "trim(source) || '|' || trim(accession)", "verdict")
     + " UNION ALL "
     + _changes_sql("file_snapshots", _k("url"), "trim(url)", "dl_status"),

@@ -3,18 +3,23 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.units import age_days, age_in_text, group_units, resolve_units, unit_in_notes, unit_of
+from tessera.operators.units import age_days, archive_defaults, group_units, resolve_units, unit_of, units_in_notes, with_age
 
-META = "meta_id bigint, source string, age_num double, age_unit string, evidence string, name string"
+META = "meta_id bigint, source string, age_num double, age_unit string, evidence string, development_stage string, name string"
 SOURCES = [("GEO", None), ("Months", "Form asks for months, so an age without unit is in months."), (None, "ages in weeks")]
 
 
 def ages(spark, rows, sources=SOURCES):
-    meta = spark.createDataFrame([(i, *r, "clash") for i, r in enumerate(rows)], META)
+    meta = spark.createDataFrame([(i, *r, *[None] * (5 - len(r)), "clash") for i, r in enumerate(rows)], META)
     src = spark.createDataFrame(sources, "name string, notes string")
     return {r.meta_id: r.age_days for r in age_days(meta, src).collect()}
 
 
+def judged(spark, rows):
+    meta = spark.createDataFrame([(i, *r, "clash") for i, r in enumerate(rows)], META)
+    return {r.meta_id: (r.unit, r.fit, r.n_solutions) for r in age_days(meta, spark.createDataFrame(SOURCES, "name string, notes string")).collect()}
+
+
 @pytest.mark.parametrize(
     "text,unit",
     [("Years", "year"), (" y.o. ", "year"), ("yo", "year"), ("año", "year"), ("años", "year"), ("Jahre", "year"), ("mois", "month"), ("mth", "month"), ("month(s)", "month"), ("PCW", "week"), ("gestational weeks", "week"), ("Wochen", "week"), ("dpc", "day"), ("d post natal", "day"), ("Tage", "day"), ("x10 years", "decade"), ("unit?", None), ("", None), (None, None), ("wizard", None)],
@@ -34,7 +39,7 @@ def test_unit_names(spark, text, unit):
     ],
 )
 def test_ages_in_words(spark, text, days):
-    got = spark.range(1).select(age_in_text(F.lit(text).cast("string"))["days"]).first()[0]
+    got = with_age(spark.range(1), F.lit(text).cast("string"), "a").select("a.days").first()[0]
     assert got == days if days is None else math.isclose(got, days)
 
 
@@ -71,8 +76,30 @@ def test_a_null_archive_is_none(spark):
 
 
 def test_notes(spark):
-    for note, unit in (("a bare age number there counts years.", "year"), ("Age column of the export = days since birth (unit left off).", "day"), ("Submitters fill the age box in weeks; the box shows no unit.", "week"), ("updated every month", None), (None, None)):
-        assert spark.range(1).select(unit_in_notes(F.lit(note).cast("string"))).first()[0] == unit
+    for note, units in (("a bare age number there counts years.", ["year"]), ("Age column of the export = days since birth (unit left off).", ["day"]), ("Submitters fill the age box in weeks; the box shows no unit.", ["week"]), ("ages come monthly, once a month, in weeks", ["week", "month"]), ("updated every month", None), (None, None)):
+        assert spark.range(1).select(units_in_notes(F.lit(note).cast("string"))).first()[0] == units
+
+
+def test_the_unit_of_an_archive_by_its_own_rows(spark):
+    notes = spark.createDataFrame([("A", "ages in months, updated every week"), ("B", "ages in months, updated every week"), ("C", "ages: years"), ("D", "no word")], "name string, notes string")
+    rows = [("a", 7.0, None, None, "7-month-old stage"), ("A ", 30.0, "unknown", None, "30-month-old stage"), ("a", 3.0, "week", None, "9-year-old stage"), ("c", 24.0, None, None, "2-year-old stage"), ("d", 2.0, None, None, "2-year-old stage")]
+    meta = spark.createDataFrame([(i, *r, "clash") for i, r in enumerate(rows)], META)
+    # by its rows; by the last word; by its only word, whatever its rows say; by nothing
+    assert {r.source: r.unit for r in archive_defaults(meta, notes).collect()} == {"a": "month", "b": "week", "c": "year"}
+
+
+def test_contradictions_and_open_cases_are_flagged(spark):
+    got = judged(
+        spark,
+        [
+            ("GEO", 24.0, None, "aged 2 years", None),  # the unit written there; 24 months would fit
+            ("GEO", 30.0, "week", None, "30-year-old stage"),  # the named unit; years would fit
+            ("GEO", 2.0, "y", "aged 2 years", "9-month-old stage"),
+            ("GEO", 2.0, "y", None, "unknown"),
+            ("GEO", None, None, "aged 2 years", None),
+        ],
+    )
+    assert got == {0: ("year", "month", 1), 1: ("week", "year", 1), 2: ("year", "year", 1), 3: ("year", None, None), 4: ("year", None, None)}
 
 
 def test_identity_mass_density_volume(spark):
