@@ -31,22 +31,28 @@ def resolve_units(df: DataFrame, terms: dict[str, tuple[Column, Column, float]],
     each term, made inside the row. A row with a null or non-positive value, or no candidates for a term, gets null
     and 0. Everything stays in the JVM.
     """
-    combos: Column = F.array(F.struct(F.lit(0.0).alias("r"), F.lit(0).alias("level"), F.array().cast("array<string>").alias("u")))
-    for value, cands, power in terms.values():
-        combos = _extended(combos, F.ln(F.when(value > 0, value)), cands, power, levels)
     target = const if isinstance(const, Column) else F.lit(const)
-    scored = F.filter(F.transform(combos, lambda c: F.struct(c["level"].alias("level"), F.abs(c["r"] - target).alias("r"), c["u"].alias("u"))), lambda c: c["r"].isNotNull())
-    out = df.withColumn("_scored", scored)
+    out = df.withColumns({"_target": target, **{f"_log{i}": F.ln(F.when(value > 0, value)) for i, (value, _, _) in enumerate(terms.values())}})
+    combos = None
+    for i, (_, cands, power) in enumerate(terms.values()):
+        combos = _extended(combos, F.col(f"_log{i}"), cands, power, levels)
+    scored = F.transform(combos, lambda c: F.struct(c["level"].alias("level"), F.abs(c["r"] - F.col("_target")).alias("r"), c["u"].alias("u")))
+    known = F.col("_target").isNotNull()
+    for i in range(len(terms)):
+        known &= F.col(f"_log{i}").isNotNull()
+    out = out.withColumn("_scored", F.when(known, scored)).drop("_target", *[f"_log{i}" for i in range(len(terms))])
     out = out.withColumns({"_best": F.array_min("_scored"), "_fit": F.array_min(F.transform("_scored", lambda c: F.struct(c["r"].alias("r"), c["u"].alias("u"))))})
     named = lambda c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(c)["u"][i].alias(n) for i, n in enumerate(terms)]))
     near = F.filter("_scored", lambda c: c["r"] <= F.col("_fit")["r"] + tolerance)
     return out.withColumns({"units": named("_best"), "residual": F.col("_best.r"), "fit": named("_fit"), "n_solutions": F.when(F.col("_best").isNull(), 0).otherwise(F.size(near))}).drop("_scored", "_best", "_fit")
 
 
-def _extended(combos: Column, log: Column, cands: Column, power: float, levels: bool) -> Column:
+def _extended(combos: Column | None, log: Column, cands: Column, power: float, levels: bool) -> Column:
     """Every combination so far with every candidate of one more term."""
     level = (lambda c: c["level"]) if levels else (lambda c: F.lit(0))
     step = F.transform(cands, lambda c: F.struct((F.lit(power) * (log + F.ln(c["factor"]))).alias("r"), level(c).alias("level"), F.array(c["unit"]).alias("u")))
+    if combos is None:
+        return step
     both = lambda a: F.transform(step, lambda b: F.struct((a["r"] + b["r"]).alias("r"), (a["level"] + b["level"]).alias("level"), F.concat(a["u"], b["u"]).alias("u")))
     return F.flatten(F.transform(combos, both))
 
@@ -230,15 +236,15 @@ def age_days(meta: DataFrame, sources: DataFrame) -> DataFrame:
     df = with_stage_days(with_age(df, F.col("evidence"), "ev"), F.col("development_stage"), "stage").join(default, "_src", "left")
     level = lambda u: F.when(F.col("named") == u, 0).when((F.col("ev.unit") == u) | (F.col("ev.unit2") == u), 1).when(F.col("_default") == u, 2).otherwise(3)
     cands = F.array(*[F.struct(F.lit(u).alias("unit"), F.lit(d).alias("factor"), level(u).alias("level")) for u, d in DAYS.items()])
-    one = F.array(F.struct(F.lit("day").alias("unit"), F.lit(1.0).alias("factor"), F.lit(0).alias("level")))
     value = F.when(F.col("num") > 0, F.col("num")).otherwise(F.lit(1.0))  # zero and below: the sign is judged later
     elsewhere = F.coalesce(F.when(F.col("ev.days") > 0, F.col("ev.days")), F.when(F.col("stage") > 0, F.col("stage")))
     df = df.withColumns({"elsewhere": elsewhere, "allowed": F.coalesce("named", "ev.unit", "_default")})
-    df = resolve_units(df, {"num": (value, cands, 1.0), "known": (F.coalesce("elsewhere", value), one, -1.0)}, levels=True)
+    df = resolve_units(df, {"num": (F.when(F.col("num").isNotNull(), value), cands, 1.0)}, const=F.ln(F.coalesce("elsewhere", value)), levels=True)
     ev_days = F.coalesce("ev.days", F.col("ev.value") * days_of(F.coalesce("named", "_default")))
     unit = F.when(F.col("num").isNotNull(), F.when(F.col("allowed").isNotNull(), F.col("units.num"))).otherwise(F.coalesce("ev.unit", "named", "_default"))
     df = df.withColumn("unit", unit).withColumn("d", F.round(F.when(F.col("num").isNotNull(), F.col("num") * days_of(F.col("unit"))).otherwise(ev_days), 6))
     told = lambda c: F.when((F.col("num") > 0) & F.col("elsewhere").isNotNull(), c)
-    return df.where(F.col("d").between(0.0, MAX_AGE_DAYS)).select(
-        "meta_id", F.floor(F.col("d") + 0.5).cast("bigint").alias("age_days"), "unit", told(F.col("fit.num")).alias("fit"), told(F.col("n_solutions")).alias("n_solutions"), told(F.col("residual")).alias("residual")
-    )
+    # the bounds as a filter of columns would be pushed down to the scan, with a copy of all patterns for each mention
+    kept = F.explode(F.filter(F.array("d"), lambda x: x.between(0.0, MAX_AGE_DAYS))).alias("d")
+    df = df.select("meta_id", "unit", told(F.col("fit.num")).alias("fit"), told(F.col("n_solutions")).alias("n_solutions"), told(F.col("residual")).alias("residual"), kept)
+    return df.select("meta_id", F.floor(F.col("d") + 0.5).cast("bigint").alias("age_days"), "unit", "fit", "n_solutions", "residual")
