@@ -1,31 +1,29 @@
 """Sentences of texts in many languages and scripts.
 
-A first pass learns, per language and without supervision, what stands around full stops: words whose stop is
-followed by what cannot open a sentence (abbreviations), pairs that keep together across a stop (collocations) and
-words that open sentences. The tests are log-likelihood ratios over counts of the whole corpus, made with Spark
-aggregations; the learned lists hold a least share of their language's stops, so their length is bounded. A second
-pass classifies every stop by these statistics. Both passes use one scanner, which knows quotations, brackets, list
-items, empty lines and scripts without stops.
+One pass over the corpus scans every text: it knows quotations, brackets, list items, empty lines and scripts without
+stops, settles the stops that leave no doubt, and notes for every other one what stands around it. From these notes
+Spark aggregations learn, per language and without supervision, words whose stop is followed by what cannot open a
+sentence (abbreviations), pairs that keep together across a stop (collocations) and words that open sentences, by
+log-likelihood ratios. Then every different open question is answered once, by joins to the learned rows, and the
+answers are joined back to the documents.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.session import persisted, spread
+from tessera.session import persisted, small, spread
 
-#: Least share of a language's stops for a learned entry: a language has at most the reciprocal many.
-SHARE = 1e-5
 #: Critical value of a log-likelihood ratio (chi-square, one degree of freedom, 0.001).
 LLR = 10.83
 
@@ -49,13 +47,14 @@ _QUOTE = re.compile(rf"[{re.escape(_OPEN + _CLOSE + _QUOTES_OPEN + _QUOTES_CLOSE
 _NUMBER = re.compile(r"\d(?:[\d.,]*\d)?")
 _SPACED = re.compile(rf"(?<=[{_UNSPACED}])[^\S\n]*\n?[^\S\n]+(?=[{_UNSPACED}])|(?<=[{_UNSPACED}])\s+(?=[{_UNSPACED}])")
 _SPACED_LATIN = re.compile(rf"(?<=[{_UNSPACED}])\s+(?=[A-Z][a-z]*\s+[a-z]+\s)")
-_WORD = re.compile(r"\S{1,200}")  # more of a word is never looked at, so a text without spaces takes linear time
+#: A longer word is known by that many of its characters next to the stop, when learning as when looking up, so that
+#: a text without spaces takes linear time.
+_LONG = 200
+_WORD = re.compile(rf"\S{{1,{_LONG}}}")
 _AROUND = _CLOSERS + " \t\n\r\u00a0\u202f"
 _BROKEN = re.compile(r"[^\S\n\r]*[\n\r]")
 _ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _GLUED = re.compile(r"[a-z\u00df-\u00ff)\d]{2}[.!?\u2026](?=[A-Z\u00c0-\u00de])")
-#: How far back a word before a stop, or an opened bracket, is looked for.
-_BACK = 200
 _HAS_WORD = re.compile(r"\w")
 
 _SCRIPTS = (("Deva", "\u0900", "\u097f"), ("Thai", "\u0e00", "\u0e7f"), ("Hang", "\uac00", "\ud7af"), ("Arab", "\u0600", "\u06ff"), ("Cyrl", "\u0400", "\u04ff"), ("Grek", "\u0370", "\u03ff"), ("Jpan", "\u3040", "\u30ff"), ("Hani", "\u4e00", "\u9fff"))
@@ -89,44 +88,47 @@ def kind(word: str) -> str:
     return _NUMBER.sub("#", word.lower())
 
 
-@dataclass
-class Model:
-    """Learned statistics: per (language, word before a stop), (.., word after) and (language, word after)."""
-
-    joint: dict = field(default_factory=dict)  # (key, word) -> rate at which the stop ends a sentence
-    pairs: dict = field(default_factory=dict)  # (key, word, next) -> ends a sentence
-    opens: dict = field(default_factory=dict)  # (key, next) -> share of sentence openings
-    seen: set = field(default_factory=set)  # (key, word)
-
-
 def _depths(par: str) -> tuple[list[int], list[int]]:
     """Start and end of the outermost quotations and brackets that are closed within the paragraph."""
     stack: list[tuple[str, int]] = []
+    opened: dict[str, list[int]] = {}  # where in the stack each character stands
     spans: list[tuple[int, int]] = []
     n = len(par)
+
+    def last(c: str) -> int:
+        return opened[c][-1] if opened.get(c) else -1
+
+    def push(c: str, i: int) -> None:
+        opened.setdefault(c, []).append(len(stack))
+        stack.append((c, i))
+
+    def close(top: int, end: int) -> None:
+        spans.append((stack[top][1], end))
+        for c, _ in stack[top:]:
+            opened[c].pop()
+        del stack[top:]
+
     for m in _QUOTE.finditer(par):
         c, i = m.group(), m.start()
         before, after = par[i - 1] if i else " ", par[i + 1] if i + 1 < n else " "
         if c in "\"'":
-            top = next((k for k in range(len(stack) - 1, max(-1, len(stack) - _BACK), -1) if stack[k][0] == c), None)
-            if top is not None and not before.isspace() and (c == '"' or not after.isalnum()):
-                spans.append((stack[top][1], i + 1))
-                del stack[top:]
+            top = last(c)
+            if top >= 0 and not before.isspace() and (c == '"' or not after.isalnum()):
+                close(top, i + 1)
             elif (before.isspace() or before in _OPENERS or (c == '"' and not before.isalnum())) and not after.isspace() and (c == '"' or after.isalpha()):
-                if c == '"' or top is None:
-                    stack.append((c, i))
+                if c == '"' or top < 0:
+                    push(c, i)
             continue
         wants = _PAIRS.get(c)
         if wants is not None:
-            top = next((k for k in range(len(stack) - 1, max(-1, len(stack) - _BACK), -1) if stack[k][0] == wants or c == "”" and stack[k][0] == "„"), None)
-            if top is not None:
-                spans.append((stack[top][1], i + 1))
-                del stack[top:]
+            top = max(last(wants), last("„")) if c == "”" else last(wants)
+            if top >= 0:
+                close(top, i + 1)
                 continue
             if c not in _QUOTES_OPEN:
                 continue
         if c in _OPEN or c in _QUOTES_OPEN and (c != "‘" or before.isspace()):
-            stack.append((c, i))
+            push(c, i)
     starts, ends = [], []
     for a, b in sorted(spans):
         if not ends or a >= ends[-1]:
@@ -169,9 +171,8 @@ def _look(par: str, at: int) -> tuple[str, str]:
     return word, "U" if c.isupper() else "N"
 
 
-def stops(par: str) -> Iterator[Stop]:
-    """Possible sentence ends of a paragraph (or list item), in order; those inside quotations are passed over."""
-    starts, ends = _depths(par)
+def stops(par: str, starts: list[int], ends: list[int]) -> Iterator[Stop]:
+    """Possible sentence ends of a paragraph, in order; those inside quotations (``_depths``) are passed over."""
     n, begin = len(par), 0
     for m in _CAND.finditer(par):
         i, end = m.start(), m.end()
@@ -193,7 +194,7 @@ def stops(par: str) -> Iterator[Stop]:
         if ";" in mark or "\u037e" in mark:  # the Greek question mark
             if not (spaced and i and "\u0370" <= par[i - 1] <= "\u1fff"):
                 continue
-        a, low = i, max(0, i - _BACK)
+        a, low = i, max(0, i - _LONG)
         while a > low and not par[a - 1].isspace():
             a -= 1
         word = par[a:i]
@@ -210,7 +211,7 @@ def stops(par: str) -> Iterator[Stop]:
         lead = begin
         while lead < n and par[lead].isspace():
             lead += 1
-        broken = spaced and _BROKEN.match(par, end, end + _BACK) is not None
+        broken = spaced and _BROKEN.match(par, end) is not None
         yield Stop(end, word, nxt, look, mark, spaced, broken, quoted and starts[k] <= lead and par[starts[k]] not in _BRACKETS)
         begin = end
 
@@ -219,8 +220,12 @@ def _plain_stop(s: Stop) -> bool:
     return s.mark == "." and s.spaced
 
 
-def ends_sentence(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
-    """Whether a stop ends a sentence."""
+#: What an open question asks of the learned rows.
+OPENS, LEARNED, NO_ABBREVIATION, EITHER = "opens", "learned", "no abbreviation", "either"
+
+
+def verdict(s: Stop) -> bool | str:
+    """Whether a stop ends a sentence, or what must be asked to know (``EITHER``: no abbreviation, or learned)."""
     mark = s.mark
     if mark[0] in _FULL or mark[-1] in _FULL:
         if s.open_at_start and s.look != "U":
@@ -229,76 +234,42 @@ def ends_sentence(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
     if s.look == "P" and s.broken and s.nxt in ("-", "–", "—", "*"):
         return True  # a lone list item after a full sentence
     if s.look == "P":
-        return bool(s.spaced and s.nxt[:1] in "•<#@*_~`[" and mark != "…" and not _abbreviation(s, keys, model))
+        return NO_ABBREVIATION if s.spaced and s.nxt[:1] in "•<#@*_~`[" and mark != "…" else False
     if not s.spaced:
         if _CJK.match(s.nxt[:1] or " "):
             return mark[-1] in "!?" and not s.open_at_start
-        return _unspaced(s, keys, model)
+        return _unspaced(s)
     if s.open_at_start and s.look in "LN":
         return False
     if s.look == "L":
         return False
     if "…" in mark or ".." in mark:
-        return s.look in "UN" and _opens(s.nxt, keys, model)
+        return OPENS if s.look in "UN" else False
     if mark[-1] in "!?‼⁇⁈⁉؟۔;\u037e" or len(mark) > 1:
         return True
-    if not s.word:
-        return True
-    return _learned(s, keys, model)
+    return LEARNED if s.word else True
 
 
-def _unspaced(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
+def _unspaced(s: Stop) -> bool | str:
     """A stop with the next sentence right after it ('...zone.We'): a plain word before, a capitalised one after."""
     if s.look not in "UN" or len(s.word) < 2 and not s.word.isdigit():
         return False
     if s.look == "N":
-        return not s.word[-1:].isascii() and s.mark[0] != "…" and not s.open_at_start and not _abbreviation(s, keys, model)
+        return NO_ABBREVIATION if not s.word[-1:].isascii() and s.mark[0] != "…" and not s.open_at_start else False
     if any(x in s.word for x in "./\\@:_=") or "." in s.nxt or "_" in s.nxt or "/" in s.nxt:
         if not (s.mark[-1] in "!?"):
             return False
     bare = s.word.strip(_CLOSERS)
     if not bare or not (bare[-1].isalnum() or s.mark[-1] in "!?…"):
         return False
-    if "…" in s.mark:
-        return _opens(s.nxt, keys, model)
-    return not _abbreviation(s, keys, model) or _learned(s, keys, model)
+    return OPENS if "…" in s.mark else EITHER
 
 
-def _opens(nxt: str, keys: tuple[str, ...], model: Model) -> bool:
-    return any(model.opens.get((k, kind(nxt)), 0) > 0 for k in keys)
+def lone_letter(word: str) -> bool:
+    return len(word) == 1 and word.isalpha() and word.isascii()
 
 
-def _abbreviation(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
-    w = kind(s.word)
-    for k in keys:
-        if (k, w) in model.joint:
-            return True
-        if (k, w) in model.seen:
-            return False
-    return len(w) == 1 and w.isalpha() and w.isascii()
-
-
-def _learned(s: Stop, keys: tuple[str, ...], model: Model) -> bool:
-    w, x = kind(s.word), kind(s.nxt)
-    flagged = False
-    for k in keys:
-        if (known := model.pairs.get((k, w, x))) is not None:
-            return known
-        rate = model.joint.get((k, w))
-        if rate is not None:
-            flagged = True
-            if s.look == "D":
-                return False
-            if (k, x) in model.opens:
-                return rate >= 0.05
-            continue  # the language has not met this opening: ask the script
-        if (k, w) in model.seen:
-            return True
-    if flagged:
-        return False
-    if len(w) == 1 and w.isalpha() and w.isascii() or "." in w and re.fullmatch(r"(?:\w\.)+\w", w):
-        return s.look != "D" and _opens(s.nxt, keys, model) and len(w) > 1
-    return True
+_DOTTED = re.compile(r"(?:\w\.)+\w")
 
 
 # ---- layout ---------------------------------------------------------------------------------------------------
@@ -361,54 +332,127 @@ def _items(par: str, lines: list, marks: list) -> list[int]:
     return []
 
 
-def split(text: str | None, lang: str | None, model: Model) -> list[tuple[int, int]]:
-    """Sentences of a text as places of code points (start, end)."""
-    out: list[tuple[int, int]] = []
-    for a, b, item in units(text or ""):
+@dataclass
+class Parsed:
+    """A text cut at every place that ends a sentence, or may.
+
+    ``cuts``: the end of what stands before a cut and the start of what stands after it (no white space between the
+    two counts), and the number of its question, -1 if it is sure. ``asks``: rule, language, script, word before, word
+    after, whether that is a number. ``seen``: language, word before, word after and look of every plain full stop.
+    """
+
+    first: int
+    last: int
+    cuts: list[tuple[int, int, int]]
+    asks: list[tuple[str, str, str, str, str, bool]]
+    seen: list[tuple[str, str, str, str]]
+
+
+def parse(text: str | None, lang: str | None) -> Parsed | None:
+    """All that one scan of a text tells; None for a null or blank one."""
+    if text is None or not (stripped := text.rstrip()):
+        return None
+    n = len(stripped)
+    out = Parsed(len(text) - len(text.lstrip()), n, [], [], [])
+
+    def cut(at: int, ask: int) -> None:
+        before, after = at, at
+        while before and text[before - 1].isspace():
+            before -= 1
+        while after < n and text[after].isspace():
+            after += 1
+        out.cuts.append((before, after, ask))
+
+    for a, b, item in units(text):
+        if a > out.first:
+            cut(a, -1)
+        if item:
+            continue
         part = text[a:b]
-        cuts: list[int] = []
-        if not item:
-            scr = script(part)
-            keys = (language(lang, scr), scr)
-            cuts = [s.end for s in stops(part) if ends_sentence(s, keys, model)]
-            if _ANY_UNSPACED.search(part):
-                starts, ends = _depths(part)
-                for m in [*_SPACED.finditer(part), *_SPACED_LATIN.finditer(part)]:
-                    k = bisect_right(starts, m.start()) - 1
-                    if k < 0 or ends[k] <= m.start():
-                        cuts.append(m.start())
-            cuts = sorted(set(cuts))
-        for x, y in zip([0, *cuts], [*cuts, len(part)]):
-            piece = part[x:y]
-            left = len(piece) - len(piece.lstrip())
-            right = len(piece.rstrip())
-            if right > left:
-                out.append((a + x + left, a + x + right))
+        scr = script(part)
+        key = language(lang, scr)
+        starts, ends = _depths(part)
+        found: list[tuple[int, int]] = []
+        for s in stops(part, starts, ends):
+            w, x = kind(s.word), kind(s.nxt)
+            if _plain_stop(s) and s.word:
+                out.seen.append((key, w, x, s.look))
+            ends_here = verdict(s)
+            if ends_here is True:
+                found.append((s.end, -1))
+            elif ends_here:
+                found.append((s.end, len(out.asks)))
+                out.asks.append((ends_here, key, scr, w, x, s.look == "D"))
+        if _ANY_UNSPACED.search(part):
+            for m in [*_SPACED.finditer(part), *_SPACED_LATIN.finditer(part)]:
+                k = bisect_right(starts, m.start()) - 1
+                if k < 0 or ends[k] <= m.start():
+                    found.append((m.start(), -1))
+            found.sort()
+        for at, ask in found:
+            cut(a + at, ask)
     return out
 
 
+def spans(first: int, last: int, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sentences between cuts (end before, start after); what is empty between two cuts is none."""
+    starts, ends = [first, *(b for _, b in cuts)], [*(a for a, _ in cuts), last]
+    return [(x, y) for x, y in zip(starts, ends) if x < y]
+
+
 # ---- learning -------------------------------------------------------------------------------------------------
 
-_STATS = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "w", "x", "look")] + [T.StructField("n", T.LongType())])
+_CUTS = "array<struct<before:int,after:int,ask:int>>"
+_ASKS = "array<struct<rule:string,key:string,scr:string,w:string,x:string,digit:boolean>>"
 
 
-def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        counts: Counter = Counter()
-        for text, lang in zip(batch.column(0), batch.column(1)):
-            text, lang = text.as_py(), lang.as_py()
-            for a, b, item in units(text or ""):
-                if item:
-                    continue
-                part = text[a:b]
-                scr = script(part)
-                key = language(lang, scr)
-                for s in stops(part):
-                    if _plain_stop(s) and s.word and len(s.word) <= 40:
-                        counts[key, kind(s.word), kind(s.nxt)[:40], s.look] += 1
-        if counts:
-            cols = list(zip(*((*k, n) for k, n in counts.items())))
-            yield pa.RecordBatch.from_pydict(dict(zip(("key", "w", "x", "look", "n"), map(list, cols))))
+def parsed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The corpus scanned once and written to the shared folder.
+
+    Rows of ``what`` 'text' are documents (doc_id, batch, at: a key of the row; first, last, cuts, asks), rows of
+    'stop' are counts (key, w, x, look, n) of full stops within a batch.
+    """
+    names = ["what", "doc_id", "batch", "at", "first", "last", "cuts", "asks", "key", "w", "x", "look", "n"]
+    types = ["string", docs.schema[id_col].dataType.simpleString(), "long", "int", "int", "int", _CUTS, _ASKS, *["string"] * 4, "long"]
+    cut_type = pa.list_(pa.struct([("before", pa.int32()), ("after", pa.int32()), ("ask", pa.int32())]))
+    ask_type = pa.list_(pa.struct([*((c, pa.string()) for c in ("rule", "key", "scr", "w", "x")), ("digit", pa.bool_())]))
+
+    def lists(rows: list[list[tuple]], of: pa.DataType) -> pa.Array:
+        offsets, flat = [0], []
+        for r in rows:
+            flat += r
+            offsets.append(len(flat))
+        cols = list(zip(*flat)) if flat else [[] for _ in of.value_type]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, of.value_type)], fields=list(of.value_type)))
+
+    def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            ids, rows, counts = [], [], Counter()
+            for d, t, g in zip(batch.column(0), batch.column(1), batch.column(2)):
+                if (one := parse(t.as_py(), g.as_py())) is not None:
+                    ids.append(d.as_py())
+                    rows.append(one)
+                    counts.update(one.seen)
+            n, m, base = len(rows), len(counts), uuid.uuid4().int & (2**63 - 1)
+            keys = list(zip(*counts)) if counts else [[], [], [], []]
+            empty = [[]] * m
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(["text"] * n + ["stop"] * m, pa.string()),
+                    pa.array(ids + [None] * m, batch.schema.field(0).type),
+                    pa.array([base] * (n + m), pa.int64()),
+                    pa.array(range(n + m), pa.int32()),
+                    pa.array([r.first for r in rows] + [None] * m, pa.int32()),
+                    pa.array([r.last for r in rows] + [None] * m, pa.int32()),
+                    lists([r.cuts for r in rows] + empty, cut_type),
+                    lists([r.asks for r in rows] + empty, ask_type),
+                    *[pa.array([None] * n + list(k), pa.string()) for k in keys],
+                    pa.array([None] * n + list(counts.values()), pa.int64()),
+                ],
+                names=names,
+            )
+
+    return persisted(spread(docs.select(id_col, text, lang)).mapInArrow(scan, ", ".join(f"`{c}` {t}" for c, t in zip(names, types))), "sentences-parsed", ["what"])
 
 
 def _llr(k: Column, n: Column, p0: Column | float) -> Column:
@@ -418,12 +462,11 @@ def _llr(k: Column, n: Column, p0: Column | float) -> Column:
     return 2 * (term(k, n * p) + term(n - k, n * (1 - p)))
 
 
-def statistics(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def statistics(scanned: DataFrame) -> DataFrame:
     """Counts (key, w, x, look, n) of full stops: word before, word after, look; per language and per script."""
-    raw = spread(docs.select(text, lang)).mapInArrow(_count, _STATS).groupBy("key", "w", "x", "look").agg(F.sum("n").alias("n"))
-    raw = persisted(raw, "stops-raw")  # the corpus is read once
+    raw = scanned.where("what = 'stop'").groupBy("key", "w", "x", "look").agg(F.sum("n").alias("n"))
     pooled = raw.where(F.col("key").contains(":")).withColumn("key", F.split("key", ":")[0]).groupBy("key", "w", "x", "look").agg(F.sum("n").alias("n"))
-    return raw.unionByName(pooled)
+    return persisted(raw.unionByName(pooled), "stops")
 
 
 def learn(stats: DataFrame) -> DataFrame:
@@ -433,16 +476,15 @@ def learn(stats: DataFrame) -> DataFrame:
     significantly more often than by chance (1 %), by words that keep to it, or hardly ever by a known opening. The rate at which its stops end
     sentences is the share of pure openings after it, relative to that after other words. For its pairs, the
     expected openings (rate times the opening's share) are weighed against the pair's own count.
-    Entries need 3 stops and ``SHARE`` of their language's.
+    Entries need 3 stops.
     """
     can = F.col("look").isin("U", "N", "M")
     word = Window.partitionBy("key", "w")
-    by = stats.groupBy("key").agg(F.sum("n").alias("all"))
     after = stats.where(can).groupBy("key", "x").agg(F.sum("n").alias("cx"))
-    t = stats.join(by, "key").join(after, ["key", "x"], "left")
+    t = stats.join(after, ["key", "x"], "left")
     t = t.withColumn("c", F.sum("n").over(word)).withColumn("no", F.sum(F.when(can, 0).otherwise(F.col("n"))).over(word))
     tied = F.when(can & (F.col("cx") >= 5) & (F.col("n") >= 0.5 * F.col("cx")), F.col("n")).otherwise(0)
-    t = t.withColumn("tied", F.sum(tied).over(word)).withColumn("ties", F.sum((tied > 0).cast("int")).over(word)).where((F.col("c") >= 3) & (F.col("c") >= SHARE * F.col("all")))
+    t = t.withColumn("tied", F.sum(tied).over(word)).withColumn("ties", F.sum((tied > 0).cast("int")).over(word)).where("c >= 3")
     flagged = ((_llr(F.col("no"), F.col("c"), 0.01) >= LLR) & (F.col("no") >= 0.05 * F.col("c"))) | ((F.col("tied") >= 0.3 * F.col("c")) & (F.col("ties") <= 3) & (F.col("c") >= 5)) | (F.col("no") >= 0.6 * F.col("c"))
     t = persisted(t.withColumn("flagged", flagged), "stops-tested")
     opened = t.where(~F.col("flagged") & can).groupBy("key", "x").agg(F.sum("n").alias("cb"), F.countDistinct("w").alias("breadth"))
@@ -460,30 +502,50 @@ def learn(stats: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     joint = f.select(F.lit("joint").alias("what"), "key", "w", none.alias("x"), F.col("rate").alias("v")).distinct()
     expected = F.col("rate") * (F.coalesce("cb", F.lit(0)) / F.coalesce("tb", F.lit(1))) * F.col("c")
-    pair = f.where(can & (F.col("n") >= 3) & (F.col("n") >= SHARE * F.col("all"))).select(F.lit("pair").alias("what"), "key", "w", "x", ((F.col("rate") >= 0.05) & (expected > 0) & ~((F.col("n") > 2.5 * expected) & (_llr(F.col("n"), F.col("c"), F.least(expected / F.col("c"), F.lit(0.999))) >= LLR))).cast("double").alias("v"))
+    pair = f.where(can & (F.col("n") >= 3)).select(F.lit("pair").alias("what"), "key", "w", "x", ((F.col("rate") >= 0.05) & (expected > 0) & ~((F.col("n") > 2.5 * expected) & (_llr(F.col("n"), F.col("c"), F.least(expected / F.col("c"), F.lit(0.999))) >= LLR))).cast("double").alias("v"))
     # collocations across the stop of a word that otherwise ends sentences
     p_x = F.col("cb") / F.col("tb")
     free = t.where(~F.col("flagged") & can & F.col("cb").isNotNull())
-    held = free.where((F.col("n") >= 5) & (F.col("n") >= 0.8 * F.col("cx")) & (F.col("n") >= SHARE * F.col("all")) & (F.col("n") < 0.3 * F.col("c")) & (_llr(F.col("n"), F.col("c"), p_x) >= LLR)).select(F.lit("pair").alias("what"), "key", "w", "x", F.lit(0.0).alias("v"))
-    opens = opened.where((F.col("cb") >= 3) & (F.col("breadth") >= 2) & (F.col("cb") >= SHARE * F.col("tb"))).select(F.lit("open").alias("what"), "key", none.alias("w"), "x", (F.col("cb") / F.col("tb")).alias("v"))
+    held = free.where((F.col("n") >= 5) & (F.col("n") >= 0.8 * F.col("cx")) & (F.col("n") < 0.3 * F.col("c")) & (_llr(F.col("n"), F.col("c"), p_x) >= LLR)).select(F.lit("pair").alias("what"), "key", "w", "x", F.lit(0.0).alias("v"))
+    opens = opened.where((F.col("cb") >= 3) & (F.col("breadth") >= 2)).select(F.lit("open").alias("what"), "key", none.alias("w"), "x", (F.col("cb") / F.col("tb")).alias("v"))
     # a language's few stops tell less than those of the script together
     seen = t.where(~F.col("flagged") & ((F.col("c") >= 20) | ~F.col("key").contains(":"))).select(F.lit("seen").alias("what"), "key", "w", none.alias("x"), F.lit(1.0).alias("v")).distinct()
     return joint.unionByName(pair).unionByName(held).unionByName(opens).unionByName(seen)
 
 
-def model_of(rows) -> Model:
-    """The model of learned rows. For a language and its script, the language's entries are looked up first."""
-    m = Model()
-    for what, key, w, x, v in rows:
-        if what == "joint":
-            m.joint[key, w] = v
-        elif what == "pair":
-            m.pairs[key, w, x] = v >= 0.5
-        elif what == "open":
-            m.opens[key, x] = v
-        else:
-            m.seen.add((key, w))
-    return m
+def answers(asks: DataFrame, learned: DataFrame) -> DataFrame:
+    """The questions (rule, key, scr, w, x, digit) with ``ends``: whether a stop like that ends a sentence.
+
+    For a language and its script, the language's rows are looked up first. Learned rows are broadcast if they are
+    counted to be few, else joined by shuffle; a question is a different one, whatever the number of its stops.
+    """
+    word = learned.where("what IN ('joint', 'seen')").groupBy("key", "w").agg(F.max(F.when(F.col("what") == "joint", F.col("v"))).alias("rate"), F.max(F.col("what") == "seen").alias("seen"))
+    pair = learned.where("what = 'pair'").groupBy("key", "w", "x").agg((F.min("v") >= 0.5).alias("pair"))
+    opening = learned.where("what = 'open' AND v > 0").select("key", "x", F.lit(True).alias("open")).distinct()
+    out = asks
+    for table, on in ((persisted(word, "words"), ["w"]), (persisted(pair, "pairs"), ["w", "x"]), (persisted(opening, "opens"), ["x"])):
+        kept, values = small(table), [c for c in table.columns if c not in ("key", "w", "x")]
+        for i, key in ((1, "key"), (2, "scr")):
+            side = kept.select(F.col("key").alias(f"_k{i}"), *[F.col(c).alias(f"_{c}{i}") for c in on], *[F.col(c).alias(f"{c}{i}") for c in values])
+            cond = F.col(key) == F.col(f"_k{i}")
+            for c in on:
+                cond &= F.col(c) == F.col(f"_{c}{i}")
+            out = out.join(side, cond, "left").drop(f"_k{i}", *[f"_{c}{i}" for c in on])
+    yes, no = F.lit(True), F.lit(False)
+    opens = F.coalesce("open1", no) | F.coalesce("open2", no)
+    lone = F.col("w").rlike("^[A-Za-z]$")
+    abbreviation = F.when(F.col("rate1").isNotNull(), yes).when(F.col("seen1"), no).when(F.col("rate2").isNotNull(), yes).when(F.col("seen2"), no).otherwise(lone)
+
+    def step(i: int, flagged: Column, free: Column) -> Column:
+        """A language's answer, else what comes after a flagged word, or after one that it does not know."""
+        met = F.when(F.col("digit"), no).when(F.col(f"open{i}"), F.col(f"rate{i}") >= 0.05).otherwise(flagged)
+        return F.when(F.col(f"pair{i}").isNotNull(), F.col(f"pair{i}")).when(F.col(f"rate{i}").isNotNull(), met).when(F.col(f"seen{i}"), yes).otherwise(free)
+
+    # initials and dotted abbreviations that were not met
+    unknown = F.when(lone, no).when(F.col("w").rlike(r"(?U)^(?:\w\.)+\w$"), ~F.col("digit") & opens).otherwise(yes)
+    known = step(1, step(2, no, no), step(2, no, unknown))
+    ends = F.when(F.col("rule") == OPENS, opens).when(F.col("rule") == NO_ABBREVIATION, ~abbreviation).when(F.col("rule") == EITHER, ~abbreviation | known).otherwise(known)
+    return out.select("rule", "key", "scr", "w", "x", "digit", ends.alias("ends"))
 
 
 def sentences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -492,24 +554,18 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     Closing quotes and brackets belong to the sentence, and no sentence ends inside a quotation or bracket that is
     part of a larger one. List items and what stands between empty lines end where they end; in scripts that do not
     mark sentence ends the writer's spaces do. Null, empty and blank texts give no rows; repeated rows give theirs
-    each; other columns are ignored. Learned lists have a bounded length (``SHARE``) and are sent to the workers.
+    each; other columns are ignored. The texts are read once; places and questions, not texts, are shuffled.
     """
-    # bounded: at most 1 / SHARE entries of each sort for each script and two-letter language
-    rows = [tuple(r) for r in learn(statistics(docs, text, lang)).toLocalIterator()]
-    sent = docs.sparkSession.sparkContext.broadcast(rows)
-    state: dict = {}
-
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "model" not in state:
-            state["model"] = model_of(sent.value)
-        for batch in it:
-            ids, a, b = [], [], []
-            for d, t, g in zip(batch.column(0), batch.column(1), batch.column(2)):
-                for x, y in split(t.as_py(), g.as_py(), state["model"]):
-                    ids.append(d.as_py())
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["doc_id", "start_pos", "end_pos"])
-
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("start_pos", T.LongType()), T.StructField("end_pos", T.LongType())])
-    return spread(docs.select(id_col, text, lang)).mapInArrow(batches, schema)
+    scanned = parsed(docs, id_col, text, lang)
+    texts = scanned.where("what = 'text'").select("doc_id", "batch", "at", "first", "last", "cuts", "asks")
+    asked = texts.select("batch", "at", F.posexplode("asks").alias("ask", "q")).select("batch", "at", "ask", "q.*")
+    different = asked.select("rule", "key", "scr", "w", "x", "digit").distinct()
+    # most stops end a sentence: those that do not go back to their documents
+    held = persisted(answers(different, learn(statistics(scanned))).where("NOT ends").drop("ends"), "stops-held")
+    held = asked.join(small(held), ["rule", "key", "scr", "w", "x", "digit"], "left_semi").groupBy("batch", "at").agg(F.collect_set("ask").alias("held"))
+    cuts = F.when(F.col("held").isNull(), F.col("cuts")).otherwise(F.filter("cuts", lambda c: ~F.array_contains("held", c["ask"])))
+    done = texts.drop("asks").join(held, ["batch", "at"], "left").select("doc_id", "first", "last", cuts.alias("cuts"))
+    starts = F.concat(F.array("first"), F.transform("cuts", lambda c: c["after"]))
+    ends = F.concat(F.transform("cuts", lambda c: c["before"]), F.array("last"))
+    one = done.select("doc_id", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("s"))
+    return one.select("doc_id", F.col("s.a").cast("bigint").alias("start_pos"), F.col("s.b").cast("bigint").alias("end_pos")).where("start_pos < end_pos")

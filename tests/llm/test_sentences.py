@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from tessera.llm.sentences import Model, _depths, learn, model_of, sentences, split, statistics
+from tessera.llm.sentences import _depths, learn, parsed, script, sentences, statistics
+from tests.llm.plain_sentences import Model, model_of, split
 
 ENDS = ["The wash was long.", "Cells were kept apart.", "We saw the edge.", "All blocks came early.", "Nuclei were stained twice.", "After that, nothing moved.", "Each tile holds rows.", "Was it gone?", "Counts are integers.", "This deposit is new."]
 ABBR = ["See Fig. 3 and Supp. Table 2 for more.", "Probes, e.g. MUV5 and KLX9, were used.", "Slide no. 8 failed at ca. 30 cells, i.e. before the wash.", "Work was shared by a U.S. team.", "Authors J. K. Sample et al. reported 12 cells.", "The counts follow Sample et al.", "The tables hold cells, genes, etc.", "The pitch was 3.5 mm vs. 4.1 mm.", "The run ended at 7 p.m. on Tuesday.", "Dr. Demo of the desk checked it."]
@@ -20,7 +21,7 @@ def corpus(rng, n=400):
 @pytest.fixture(scope="module")
 def model(spark):
     rows = [(i, " ".join(x), g) for i, x, g in corpus(random.Random(1))]
-    return model_of(tuple(r) for r in learn(statistics(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))).collect())
+    return model_of(tuple(r) for r in learn(statistics(parsed(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")))).collect())
 
 
 def cut(text, model, lang="en"):
@@ -101,8 +102,29 @@ def test_rows(spark):
 
 
 def test_script_of_a_paragraph_with_a_long_latin_head():
-    from tessera.llm.sentences import script
-
     head = "GSE12345 Visium HD spatial transcriptomics of lung. " * 9
     assert len(head) > 400 and script(head + "Ткань была заморожена сразу после операции. " * 20) == "Cyrl"
     assert script("Ткань. " * 70 + head * 20) == "Latn" and script(head * 20 + "Ткань.") == "Latn" and script(head) == "Latn"
+
+
+def test_joins_against_the_plain_version(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(x), g) for i, x, g in corpus(rng, 200)]
+    bits = ["a", "B", "Fig.", "et al.", "U.S.", "x.", "The", "12", ".", " ", "\n\n", '"', "(", ")", "。", "!", "- ", "ก ", "…", "cells.We", "A. ", "• "]
+    rows += [(1000 + i, "".join(rng.choice(bits) for _ in range(rng.randrange(40))), rng.choice(["en", None, "DE"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = model_of(tuple(r) for r in learn(statistics(parsed(df))).collect())
+    want = sorted((i, a, b) for i, t, g in rows for a, b in split(t, g, model))
+    assert sorted(map(tuple, sentences(df).collect())) == want
+
+
+def test_a_rare_abbreviation_of_a_large_language_is_learned(spark):
+    # 5 of 600,000 stops, fewer than one in a hundred thousand
+    rows = [(0, " ".join(["The wash was long. We saw the edge."] * 300_000), "en"), (1, "Take qvx. twice. Use qvx. here. See qvx. there. Cut qvx. so. Mark qvx. as usual.", "en")]
+    got = sentences(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).where("doc_id = 1").count()
+    assert got == 5
+
+
+def test_brackets_and_words_of_any_length(spark):
+    assert list(zip(*_depths("(" + "[" * 300 + ")"))) == [(0, 302)]
+    assert list(zip(*_depths("“" + "(" * 300 + "”"))) == [(0, 302)]
