@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -69,11 +70,17 @@ def small(df: DataFrame, most: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which ``clear`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def persisted(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = scratch(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -81,12 +88,51 @@ def persisted(df: DataFrame, name: str, partition_by: list[str] | None = None) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole: it is there under its name only once it is complete. The name must be new."""
+    fs, target = _file_system(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def newest_text(spark: SparkSession, pattern: str) -> str | None:
+    """The content of the last file (by name) that a path pattern matches, null if none."""
+    fs, p = _file_system(spark, pattern)
+    found = sorted(f.getPath().toString() for f in fs.globStatus(p) or [])
+    if not found:
+        return None
+    stream = fs.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found[-1]))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def fingerprint(df: DataFrame) -> str:
+    """A name for the files that a table is read from: their names, sizes and times of change."""
+    spark, seen = df.sparkSession, []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}):
+        fs, p = _file_system(spark, folder)
+        seen += [f"{folder}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.listStatus(p)]
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def clear(spark: SparkSession) -> int:
     """Delete what this application wrote with ``persisted``, once its results are no longer needed; returns how many."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
     return len(paths)
 
 
