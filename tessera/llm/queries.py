@@ -10,7 +10,7 @@ from tessera.llm.canon import map_fields
 from tessera.llm.leaks import leaks
 from tessera.llm.sentences import sentences
 from tessera.llm.survivor import precedence, survivors, transitions
-from tessera.llm.terms import term_frequencies
+from tessera.llm.terms import after, base_state, last_month, marked, signed_terms, term_frequencies
 from tessera.sources.tables import table
 
 
@@ -24,6 +24,18 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_terms(spark, folder).where("mark IS NOT NULL").select("field_name", "term", "mark")
 
 
+def p3_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms after a batch: the last month's rows come, failed rows of before go, rows of before without a role get one."""
+    rows = table(spark, folder, "files").select("url", "fmt", "role", "dl_status", "loaded_at")
+    cut = last_month(rows, "loaded_at")
+    failed = F.coalesce(F.col("dl_status") == "failed", F.lit(False))
+    gone, changed = rows.where(~cut & failed), rows.where(~cut & ~failed & F.col("role").isNull())
+    signed = lambda df, n: df.withColumn("sign", F.lit(n))
+    batch = signed(rows.where(cut), 1).unionByName(signed(gone, -1)).unionByName(signed(changed, -1)).unionByName(signed(changed.withColumn("role", F.lit("none given")), 1))
+    state = base_state(rows, ~cut, "url", ["fmt", "role"], "loaded_at")
+    return marked(after(spark, state, signed_terms(batch, "url", ["fmt", "role"], sign=F.col("sign"))))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The entry of the reference list that each free value means."""
     fields = ["tissue", "disease_state", "self_reported_ethnicity", "development_stage"]
@@ -78,14 +90,17 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p5_found, p5_unmatched, p6_found, p6_order, p6_currency, p7_ids, p8_shares, p8_found, p8_near, p9_found)}
+QUERIES = {f.__name__: f for f in (p3_terms, p3_found, p3_deltas, p5_found, p5_unmatched, p6_found, p6_order, p6_currency, p7_ids, p8_shares, p8_found, p8_near, p9_found)}
 
-_TERMS = """
-  WITH rows AS (SELECT url, fmt, role FROM files WHERE url IS NOT NULL),
+_TERMS_OF = """
+  WITH rows AS ({0}),
   t AS (SELECT url, 'fmt' AS field_name, unnest(regexp_extract_all(lower(fmt), '[a-z0-9]+')) AS term FROM rows
         UNION ALL SELECT url, 'role', unnest(regexp_extract_all(lower(role), '[a-z0-9]+')) FROM rows),
   c AS (SELECT field_name, term, CAST(count(*) AS BIGINT) AS occurrences, count(DISTINCT url) AS records FROM t GROUP BY 1, 2)
   SELECT *, CASE WHEN records < 5 THEN 'rare' WHEN records > 0.2 * (SELECT count(DISTINCT url) FROM rows) THEN 'common' END AS mark FROM c"""
+_TERMS = _TERMS_OF.format("SELECT url, fmt, role FROM files WHERE url IS NOT NULL")
+_OLD = "coalesce(loaded_at < (SELECT date_trunc('month', max(loaded_at)) FROM files), true)"
+_DELTAS = _TERMS_OF.format(f"SELECT url, fmt, CASE WHEN {_OLD} AND role IS NULL THEN 'none given' ELSE role END AS role FROM files WHERE url IS NOT NULL AND NOT ({_OLD} AND coalesce(dl_status = 'failed', false))")
 _STATED = "lower(trim(CAST({0} AS VARCHAR))) NOT IN ('', 'unknown', 'n/a', 'na', 'none', 'nan', 'not reported') AND {0} IS NOT NULL"
 _SURVIVOR = " UNION ALL ".join(
     f"""SELECT group_id, '{f}' AS field_name, rec_id FROM (
@@ -114,6 +129,7 @@ SQL = {
     "p6_order": f"WITH RECURSIVE {_ORDER} SELECT field_name, older, newer FROM ordered",
     "p6_currency": _CURRENCY,
     "p3_terms": _TERMS,
+    "p3_deltas": _DELTAS,
     "p3_found": f"SELECT field_name, term, mark FROM ({_TERMS}) WHERE mark IS NOT NULL",
     "p6_found": _SURVIVOR,
 }
