@@ -51,6 +51,7 @@ _SPACED_LATIN = re.compile(rf"(?<=[{_UNSPACED}])\s+(?=[A-Z][a-z]*\s+[a-z]+\s)")
 #: a text without spaces takes linear time.
 _LONG = 200
 _WORD = re.compile(rf"\S{{1,{_LONG}}}")
+_SKIP = re.compile(rf"[\s{re.escape(_OPENERS)}]*")
 _AROUND = _CLOSERS + " \t\n\r\u00a0\u202f"
 _BROKEN = re.compile(r"[^\S\n\r]*[\n\r]")
 _ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
@@ -61,13 +62,13 @@ _SCRIPTS = (("Deva", "\u0900", "\u097f"), ("Thai", "\u0e00", "\u0e7f"), ("Hang",
 
 
 _LATIN = re.compile("[A-Za-z\u00c0-\u024f]")
-_NOT_LATIN = re.compile("[\u0250-\uffff]")
 _OF_SCRIPT = [(s, re.compile(f"[{a}-{b}]")) for s, a, b in _SCRIPTS]
+_ANY_SCRIPT = re.compile("[" + "".join(f"{a}-{b}" for _, a, b in _SCRIPTS) + "]")
 
 
 def script(par: str) -> str:
     """The script that a paragraph is written in, by all its letters (names may be Latin anywhere)."""
-    if not _NOT_LATIN.search(par):
+    if not _ANY_SCRIPT.search(par):
         return "Latn"
     other = {s: n for s, p in _OF_SCRIPT if (n := len(p.findall(par)))}
     if other and sum(other.values()) * 4 >= len(_LATIN.findall(par)):
@@ -85,7 +86,8 @@ def language(lang: str | None, scr: str) -> str:
 
 def kind(word: str) -> str:
     """A word as the statistics know it: lower case, numbers as '#'."""
-    return _NUMBER.sub("#", word.lower())
+    low = word.lower()
+    return low if low.isalpha() else _NUMBER.sub("#", low)
 
 
 def _depths(par: str) -> tuple[list[int], list[int]]:
@@ -137,7 +139,7 @@ def _depths(par: str) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-@dataclass
+@dataclass(slots=True)
 class Stop:
     """A possible end of a sentence, at depth 0: place after it, word before, word after and what that looks like."""
 
@@ -153,10 +155,7 @@ class Stop:
 
 def _look(par: str, at: int) -> tuple[str, str]:
     """The next word (bare) from ``at`` and how it begins."""
-    n = len(par)
-    while at < n and (par[at].isspace() or par[at] in _OPENERS):
-        at += 1
-    m = _WORD.match(par, at)
+    m = _WORD.match(par, _SKIP.match(par, at).end())
     if not m:
         return "", "E"
     raw = m.group()
@@ -194,12 +193,10 @@ def stops(par: str, starts: list[int], ends: list[int]) -> Iterator[Stop]:
         if ";" in mark or "\u037e" in mark:  # the Greek question mark
             if not (spaced and i and "\u0370" <= par[i - 1] <= "\u1fff"):
                 continue
-        a, low = i, max(0, i - _LONG)
-        while a > low and not par[a - 1].isspace():
-            a -= 1
-        word = par[a:i]
-        if glued := list(_GLUED.finditer(word)):
-            word = word[glued[-1].end() :]
+        word = par[max(0, i - _LONG) : i]
+        word = "" if not word or word[-1].isspace() else word.rsplit(None, 1)[-1]
+        if _GLUED.search(word):
+            word = word[[*_GLUED.finditer(word)][-1].end() :]
         word = word.lstrip(_OPENERS + "-–—")
         if "://" in word or "@" in word:
             if not spaced:
@@ -208,11 +205,9 @@ def stops(par: str, starts: list[int], ends: list[int]) -> Iterator[Stop]:
         nxt, look = _look(par, end)
         if look == "E":
             return
-        lead = begin
-        while lead < n and par[lead].isspace():
-            lead += 1
+        at_start = quoted and par[starts[k]] not in _BRACKETS and not par[begin : starts[k]].strip()
         broken = spaced and _BROKEN.match(par, end) is not None
-        yield Stop(end, word, nxt, look, mark, spaced, broken, quoted and starts[k] <= lead and par[starts[k]] not in _BRACKETS)
+        yield Stop(end, word, nxt, look, mark, spaced, broken, at_start)
         begin = end
 
 
@@ -332,7 +327,7 @@ def _items(par: str, lines: list, marks: list) -> list[int]:
     return []
 
 
-@dataclass
+@dataclass(slots=True)
 class Parsed:
     """A text cut at every place that ends a sentence, or may.
 
