@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.session import persisted
+
 ROUND = 6
+#: Rows of one part of a class, when its first rows are looked for.
+SALT_ROWS = 1_000_000
 
 
 def r6(c: Column) -> Column:
@@ -75,8 +79,13 @@ def balance(rows: DataFrame, label: str, order: list[Column], most: int = 25_000
     kept = rows.join(big.select(label), label, "left_semi")
     if n <= most:
         return kept
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(*order))
-    return kept.withColumn("_r", rank).where(F.col("_r") <= max(least, most // classes)).drop("_r")
+    cap, salts = max(least, most // classes), max(1, n // SALT_ROWS)
+    # the first of a class are among the first of its parts: no task sorts a whole large class
+    by = [o.alias(f"_o{i}") for i, o in enumerate(order)]
+    keys = [f"_o{i}" for i in range(len(order))]
+    part = kept.select("*", *by).withColumn("_s", F.pmod(F.xxhash64(*keys), F.lit(salts)))
+    first = part.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_s").orderBy(*keys))).where(F.col("_r") <= cap)
+    return first.withColumn("_r", F.row_number().over(Window.partitionBy(label).orderBy(*keys))).where(F.col("_r") <= cap).drop("_r", "_s", *keys)
 
 
 def composition(df: DataFrame, col: str, weight: Column, k: int) -> DataFrame:
@@ -87,13 +96,28 @@ def composition(df: DataFrame, col: str, weight: Column, k: int) -> DataFrame:
     return top.unionByName(rest)
 
 
-def cumulative_share(df: DataFrame, col: str) -> DataFrame:
-    """Values ranked by count with the running share of all rows, in per cent (one row a value is sorted)."""
+def ranked_counts(df: DataFrame, col: str) -> DataFrame:
+    """Rows (value, n, rank, upto): values by count, ties by value, with the number of rows up to each.
+
+    The values are parted by ranges of (count, value), written to the shared folder, and ranked within a part; what
+    the parts before hold is a row a part. No task sees more than its range.
+    """
     n = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc("n"), "value")
-    run = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("n").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return n.select("value", "n", F.row_number().over(order).alias("rank"), r6(run * 100 / total).alias("cum_pct"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = persisted(n.repartitionByRange(tasks, F.desc("n"), F.col("value")).withColumn("part", F.spark_partition_id()), "counts-ranged")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    held = parts.groupBy("part").agg(F.count("*").alias("k"), F.sum("n").alias("m"))  # one row a part
+    held = held.select("part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k"), F.coalesce(F.sum("m").over(before), F.lit(0)).alias("m"))
+    own = Window.partitionBy("part").orderBy(F.desc("n"), "value")
+    run = F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = parts.select("value", "n", "part", F.row_number().over(own).alias("r"), run.alias("s")).join(F.broadcast(held), "part")
+    return ranked.select("value", "n", (F.col("k") + F.col("r")).alias("rank"), (F.col("m") + F.col("s")).alias("upto"))
+
+
+def cumulative_share(df: DataFrame, col: str) -> DataFrame:
+    """Values ranked by count with the running share of all rows, in per cent."""
+    total = df.where(F.col(col).isNotNull()).agg(F.count("*").alias("all"))  # one row
+    return ranked_counts(df, col).join(F.broadcast(total)).select("value", "n", F.col("rank").cast("int").alias("rank"), r6(F.col("upto") * 100 / F.col("all")).alias("cum_pct"))
 
 
 def coverage_ranks(df: DataFrame, col: str, levels: list[int]) -> DataFrame:
@@ -105,10 +129,9 @@ def coverage_ranks(df: DataFrame, col: str, levels: list[int]) -> DataFrame:
 
 def top_share(df: DataFrame, col: str, quotas: list[int]) -> DataFrame:
     """Share of rows that the top ``q`` per cent of values hold (the value at place int(n * q / 100), 1 at least)."""
-    c = cumulative_share(df, col)
-    n = F.count("*").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    c = c.withColumn("all", n)
-    one = c.agg(*[F.max(F.when(F.col("rank") == F.greatest(F.floor(F.col("all") * q / 100), F.lit(1)), F.col("cum_pct"))).alias(f"q{q}") for q in quotas])
+    values = df.where(F.col(col).isNotNull()).agg(F.count_distinct(col).alias("values"))  # one row
+    c = cumulative_share(df, col).join(F.broadcast(values))
+    one = c.agg(*[F.max(F.when(F.col("rank") == F.greatest(F.floor(F.col("values") * q / 100), F.lit(1)), F.col("cum_pct"))).alias(f"q{q}") for q in quotas])
     return one.select(F.explode(F.array(*[F.struct(F.lit(q).alias("top_pct"), F.col(f"q{q}").alias("share")) for q in quotas])).alias("x")).select("x.*")
 
 

@@ -31,30 +31,49 @@ def _around(n: int) -> Column:
     return F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in range(-n, n + 1) for j in range(-n, n + 1)]))
 
 
-def nearest(points: DataFrame, rounds: int = 40) -> DataFrame:
+#: Places that a cell may hold when the search for neighbours begins.
+CELL_PLACES = 32
+
+
+def _sized(at: DataFrame, most: int) -> DataFrame:
+    """Places with a side ``h`` of their sample's cells: the mean spacing, halved until no cell holds more than ``most``.
+
+    So a far outlier, which makes the mean spacing large, does not put a dense cluster into one cell.
+    """
+    span = at.groupBy("sample").agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("w"), F.count("*").alias("m"))
+    sides = persisted(span.where("m > 1 AND w > 0").select("sample", (F.col("w") / F.sqrt("m")).alias("h")), "sides")
+    while True:
+        cells = at.join(sides, "sample").groupBy("sample", "h", _cell(F.col("x"), F.col("h")).alias("cx"), _cell(F.col("y"), F.col("h")).alias("cy")).agg(F.count("*").alias("n"))
+        full = persisted(cells.groupBy("sample", "h").agg(F.max("n").alias("n")), "fullest")
+        if not full.where(F.col("n") > most).head(1):
+            return persisted(at.join(sides, "sample"), "places-sized")
+        sides = persisted(full.select("sample", F.when(F.col("n") > most, F.col("h") / F.greatest(F.lit(2.0), F.floor(F.sqrt(F.col("n") / most)))).otherwise(F.col("h")).alias("h")), "sides")
+
+
+def nearest(points: DataFrame, cell_places: int = CELL_PLACES) -> DataFrame:
     """Rows (sample, id, nn): exact distance of each finite point to the nearest other point of its sample.
 
     Points lie in cells of side h; a distance of h at most, found among the 3 x 3 cells around, is exact. Points
-    without one are asked again with 2h. The first h is a quarter of the mean spacing, so that dense places settle
-    while cells are small. Points at one place (distance 0) are made one first. A lone point has no row. Every round
-    is written to the shared folder.
+    without one are asked again with 2h, until none is left. The first h is the mean spacing, or less where cells
+    would hold too many (``_sized``), so that dense places settle while cells are small and only sparse points are
+    left for large ones. Points at one place (distance 0) are made one first. A lone point has no row. Every round is
+    written to the shared folder.
     """
     p = points.where(finite(F.col("x")) & finite(F.col("y"))).select("sample", "id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     at = persisted(p.groupBy("sample", "x", "y").agg(F.count("*").alias("n"), F.min("id").alias("first")), "places")
-    span = at.groupBy("sample").agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("w"), F.count("*").alias("m"))
-    sized = persisted(at.join(span.where("m > 1 AND w > 0").withColumn("h", F.col("w") / F.sqrt("m") / 4), "sample"), "places-sized")
-    open_, done = sized.where("n = 1"), None
-    for i in range(rounds):
+    sized = _sized(at, cell_places)
+    open_, done, i = sized.where("n = 1"), None, 0
+    while True:
         h = F.col("h") * (2.0**i)
         target = sized.select("sample", _cell(F.col("x"), h).alias("cx"), _cell(F.col("y"), h).alias("cy"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-        probe = open_.select("sample", "x", "y", "first", "h", "n", "m", "w", _cell(F.col("x"), h).alias("gx"), _cell(F.col("y"), h).alias("gy"), _around(1).alias("o"))
+        probe = open_.select("sample", "x", "y", "first", "h", "n", _cell(F.col("x"), h).alias("gx"), _cell(F.col("y"), h).alias("gy"), _around(1).alias("o"))
         probe = probe.withColumns({"cx": F.col("gx") + F.col("o.dx"), "cy": F.col("gy") + F.col("o.dy")}).drop("gx", "gy", "o")
         d = F.sqrt((F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2)
         best = probe.join(target, ["sample", "cx", "cy"]).where((F.col("x") != F.col("tx")) | (F.col("y") != F.col("ty"))).groupBy("sample", "x", "y").agg(F.min(d).alias("d"))
         step = persisted(open_.join(best, ["sample", "x", "y"], "left").withColumn("ok", F.coalesce(F.col("d") <= h, F.lit(False))), "nearest")
         found = step.where("ok").select("sample", "x", "y", "d")
         done = found if done is None else done.unionByName(found)
-        open_ = step.where("NOT ok").drop("d", "ok")
+        open_, i = step.where("NOT ok").drop("d", "ok"), i + 1
         if not open_.head(1):
             break
     one = done.select("sample", "x", "y", F.col("d").alias("nn"))
@@ -124,13 +143,13 @@ def pixel_verdict(technology: Column, nn: Column, span_x: Column, span_y: Column
 # ---- radius graph ---------------------------------------------------------------------------------------------
 
 
-def connected(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """Rows (node, component) of an undirected edge table (a, b); a component is named after its least node.
 
     Alternating large-star and small-star steps, each written to the shared folder, until the edges stand still.
     """
     e = persisted(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    for _ in range(rounds):
+    while True:
         # large star: of every node, greater neighbours to the least neighbour (itself included)
         both = e.union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -208,7 +227,11 @@ def resolved_technology(labelled: Column, verdict: Column, unique_share: Column,
     return F.when(verdict == "hd_grid", "Visium HD").when(verdict == "not_visium_hd", "Visium").when(unique_share > 0.95, cell).otherwise("unknown")
 
 
-def modal_pitch(points: DataFrame, most: int = 20) -> DataFrame:
+#: Fixed value: the greatest whole multiple of the least step that can be a grid's pitch.
+MOST_STEPS = 20
+
+
+def modal_pitch(points: DataFrame, most: int = MOST_STEPS) -> DataFrame:
     """Per sample and axis: pitch of a regular grid (the median of the steps between different coordinates that are
     the commonest whole multiple of the least; ties take the smaller) and how many rows it makes."""
     long = points.select("sample", F.explode(F.array(F.struct(F.lit("x").alias("axis"), F.col("x").alias("v")), F.struct(F.lit("y").alias("axis"), F.col("y").alias("v")))).alias("a")).select("sample", "a.*")

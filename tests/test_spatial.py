@@ -70,3 +70,22 @@ def test_grids(spark):
     g = lambda r, s="x": tuple(spark.range(1).select(S.grid(F.lit(r).cast("int"), F.lit(s)).alias("g")).first().g)
     assert g(3350) == (2.0, 6.5, "hd_grid") and g(5524) == (2.0, 11.0, "hd_grid") and g(78) == (None, None, "not_visium_hd")
     assert g(870) == (8.0, 6.5, "hd_grid") and g(872)[2] == "unrecognised_grid" and g(None)[2] == "no_positions_table" and g(1000, "square_008um") == (8.0, None, "hd_grid")
+
+
+def test_a_cluster_and_a_far_point(spark):
+    from tessera.operators.spatial import _sized, nearest
+
+    rows = [("s", i, (i % 60) * 1.0, (i // 60) * 1.0) for i in range(3000)] + [("s", 9999, 1e7, 1e7), ("t", 1, 0.0, 0.0), ("t", 2, 3.0, 4.0)]
+    p = spark.createDataFrame(rows, "sample string, id bigint, x double, y double")
+    got = {(r["sample"], r.id): r.nn for r in nearest(p).collect()}
+    far = ((1e7 - 59) ** 2 + (1e7 - 49) ** 2) ** 0.5
+    assert len(got) == 3003 and abs(got["s", 9999] - far) < 1e-6 and got["t", 1] == 5.0 and {got["s", i] for i in range(3000)} == {1.0}
+    at = p.selectExpr("sample", "x", "y", "1 n", "id first")
+    assert max(r["count"] for r in _sized(at, 32).selectExpr("sample", "floor(x / h) a", "floor(y / h) b").groupBy("sample", "a", "b").count().collect()) <= 32
+
+
+def test_components_of_a_long_chain(spark):
+    from tessera.operators.spatial import connected
+
+    e = spark.createDataFrame([(f"n{i:04d}", f"n{i + 1:04d}") for i in range(300)], "a string, b string")
+    assert {r.component for r in connected(e).collect()} == {"n0000"}

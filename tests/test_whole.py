@@ -65,3 +65,16 @@ def test_pair_coverage_asks_for_every_neighbouring_pair(spark, tmp_path):
     held = {1: [1, 2, 3, 4, 5, 6], 2: [1, 3, 6, 7], 3: [2, 4], 4: [11, 12]}
     folder = put(spark, tmp_path, "lineitem", [(s, k) for s, ks in held.items() for k in ks + ks[:1]], "l_suppkey bigint, l_partkey bigint")
     assert {r["sample"]: r.n_pairs for r in resolve.pair_coverage(spark, folder).collect()} == {1: 5, 2: 1, 3: 0, 4: 1}
+
+
+def test_shares_and_classes_over_many_parts(spark, monkeypatch):
+    from itertools import accumulate
+
+    values = [(f"v{i:03d}",) for i in range(200) for _ in range(1 + i % 7)]
+    n = sorted(((c, v) for v, c in Counter(v for (v,) in values).items()), key=lambda x: (-x[0], x[1]))
+    want = [(v, c, k + 1, round(100 * s / len(values), 6)) for k, ((c, v), s) in enumerate(zip(n, accumulate(c for c, _ in n)))]
+    got = relational.cumulative_share(spark.createDataFrame([*values, (None,)], "v string"), "v").orderBy("rank").collect()
+    assert [(r["value"], r.n, r["rank"], round(r.cum_pct, 6)) for r in got] == want
+    monkeypatch.setattr(relational, "SALT_ROWS", 10)
+    rows = spark.range(300).select((F.col("id") % 3).alias("c"), "id")
+    assert sorted(r.id for r in relational.balance(rows, "c", [F.col("id")], most=150, least=50).collect()) == list(range(150))
