@@ -267,3 +267,9 @@ def magic(head: Column) -> Column:
     h = F.hex(head)
     tar = F.substring(h, 515, 10) == "7573746172"
     return F.when(h.startswith("504B"), "zip").when(h.startswith("1F8B"), "gzip").when(h.startswith("425A68"), "bz2").when(h.startswith("FD377A585A"), "xz").when(tar, "tar").otherwise("unknown")
+
+
+def archive_dir(accession: Column) -> Column:
+    """Folder of a series or sample in its archive: the accession with its last three digits as 'nnn', then itself."""
+    head = F.when(F.length(accession) > 6, F.substring(accession, F.lit(1), F.length(accession) - 3)).otherwise(F.substring(accession, 1, 3))
+    return F.concat(F.when(accession.startswith("GSE"), "series/").otherwise("samples/"), head, F.lit("nnn/"), accession, F.lit("/suppl/"))

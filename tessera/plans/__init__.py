@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import catalogue, corpus, derived, matrix, more, names, quality, resolve, spatial
+from tessera.plans import catalogue, corpus, coverage, derived, matrix, more, names, quality, resolve, spatial
 
-_MODULES = (corpus, catalogue, derived, matrix, more, names, quality, resolve, spatial)
+_MODULES = (corpus, catalogue, coverage, derived, matrix, more, names, quality, resolve, spatial)
 
 
 def queries() -> dict:
