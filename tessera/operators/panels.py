@@ -36,39 +36,57 @@ def members(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     return p, entries.join(first, "sample").select("panel", "gene").distinct()
 
 
-def containment(genes: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
-    """Rows (seed, panel, share): the part of the seed's genes that another panel holds. Different panels only."""
+def containment(genes: DataFrame, seeds: DataFrame | None = None, min_share: float = 0.0) -> DataFrame:
+    """Rows (seed, panel, share): the part of the seed's genes that another panel holds. Different panels only.
+
+    With ``min_share`` only pairs of at least that share are made: such a panel holds one at least of the seed's rarest
+    genes, as many as the share lets it lack and one more, so candidates are joined by these alone and then counted.
+    Without it every pair with a common gene is a row of the result.
+    """
     size = genes.groupBy("panel").agg(F.count("*").alias("n"))
     s = genes if seeds is None else genes.join(seeds, "panel", "left_semi")
-    both = s.withColumnRenamed("panel", "seed").join(genes, "gene").where("seed <> panel").groupBy("seed", "panel").agg(F.count("*").alias("both"))
-    return both.join(size.withColumnRenamed("panel", "seed"), "seed").select("seed", "panel", F.round(F.col("both") / F.col("n"), 6).alias("share"))
+    s = s.withColumnRenamed("panel", "seed")
+    if min_share <= 0:
+        both = s.join(genes, "gene").where("seed <> panel").groupBy("seed", "panel").agg(F.count("*").alias("both"))
+    else:
+        used = genes.groupBy("gene").agg(F.count("*").alias("used"))
+        rarest = F.row_number().over(Window.partitionBy("seed").orderBy("used", "gene"))
+        sized = s.join(used, "gene").join(size.withColumnRenamed("panel", "seed"), "seed").withColumn("r", rarest)
+        rare = sized.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * min_share - 1e-9) + 1).select("seed", "gene")
+        pairs = rare.join(genes, "gene").where("seed <> panel").select("seed", "panel").distinct()
+        both = pairs.join(s, "seed").join(genes, ["panel", "gene"], "left_semi").groupBy("seed", "panel").agg(F.count("*").alias("both"))
+    out = both.join(size.withColumnRenamed("panel", "seed"), "seed").where(F.col("both") >= F.col("n") * min_share - 1e-9)
+    return out.select("seed", "panel", F.round(F.col("both") / F.col("n"), 6).alias("share"))
 
 
 def cohorts(samples: DataFrame, genes: DataFrame, min_share: float = 0.9, min_samples: int = 20) -> DataFrame:
-    """Greedy cohorts (cohort_seed, n_panels, n_samples, seed_genes).
+    """Greedy cohorts (technology, cohort_seed, n_panels, n_samples, seed_genes) of samples (sample, technology, panel).
 
-    Seeds are panels of ``min_samples`` samples, largest gene set first (ties by panel); members are panels not yet
-    taken that hold ``min_share`` of the seed. The pass is sequential by definition: the panels' sizes and the pairs
-    above the share (one row a panel pair, not a sample) go to the driver, ``MOST_PANELS`` at most.
+    Technologies are taken in order; the seeds of one are its panels of ``min_samples`` samples, largest gene set first
+    (ties by panel); members are its panels that no cohort of any technology has taken and that hold ``min_share`` of
+    the seed. The pass is sequential by definition: the panels' sizes and the pairs above the share (one row a pair of
+    a seed and a panel, not a sample) go to the driver, ``MOST_PANELS`` panels at most.
     """
     size = {r.panel: r.n for r in genes.groupBy("panel").agg(F.count("*").alias("n")).limit(MOST_PANELS + 1).toLocalIterator()}
     if len(size) > MOST_PANELS:
         raise ValueError(f"more than {MOST_PANELS} different panels")
-    used = samples.groupBy("panel").agg(F.count("*").alias("n"))
-    seeds = used.where(F.col("n") >= min_samples)
-    count = {r.panel: r.n for r in used.toLocalIterator()}
+    used = samples.groupBy("technology", "panel").agg(F.count("*").alias("n"))
     near: dict[str, list[str]] = {}
-    for r in containment(genes, seeds.select("panel")).where(F.col("share") >= min_share).toLocalIterator():
+    for r in containment(genes, used.where(F.col("n") >= min_samples).select("panel").distinct(), min_share).toLocalIterator():
         near.setdefault(r.seed, []).append(r.panel)
+    count: dict[str, dict[str, int]] = {}
+    for r in used.where("technology IS NOT NULL").orderBy("technology").toLocalIterator():
+        count.setdefault(r.technology, {})[r.panel] = r.n
     taken: set[str] = set()
     rows = []
-    for seed in sorted((p for p in size if count.get(p, 0) >= min_samples), key=lambda p: (-size[p], p)):
-        if seed in taken:
-            continue
-        group = [seed, *(p for p in near.get(seed, []) if p not in taken)]
-        taken.update(group)
-        rows.append((seed, len(group), sum(count[p] for p in group), size[seed]))
-    return samples.sparkSession.createDataFrame(rows, "cohort_seed string, n_panels int, n_samples bigint, seed_genes bigint")
+    for technology, of in count.items():
+        for seed in sorted((p for p, n in of.items() if n >= min_samples and p in size), key=lambda p: (-size[p], p)):
+            if seed in taken:
+                continue
+            group = [seed, *(p for p in near.get(seed, []) if p not in taken and p in of)]
+            taken.update(group)
+            rows.append((technology, seed, len(group), sum(of[p] for p in group), size[seed]))
+    return samples.sparkSession.createDataFrame(rows, "technology string, cohort_seed string, n_panels int, n_samples bigint, seed_genes bigint")
 
 
 def seed_cohort(samples: DataFrame, genes: DataFrame, group: str, min_share: float = 0.9) -> DataFrame:

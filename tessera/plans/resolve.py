@@ -33,8 +33,10 @@ def panel_containment(spark, folder):
 
 
 def panel_cohorts_greedy(spark, folder):
-    """Greedy cohorts of panels."""
-    return P.cohorts(*P.members(_by_order(spark, folder)), min_share=0.9, min_samples=20)
+    """Greedy cohorts of panels per technology (order status), assigned over all of them."""
+    samples, genes = P.members(_by_order(spark, folder))
+    o = table(spark, folder, "orders").select(F.col("o_orderkey").alias("sample"), F.col("o_orderstatus").alias("technology"))
+    return P.cohorts(samples.join(o, "sample"), genes, min_share=0.9, min_samples=20)
 
 
 def panel_cohort_seed(spark, folder):

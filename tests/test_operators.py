@@ -50,7 +50,7 @@ def test_cohorts(spark):
     genes = [("p1", g) for g in range(10)] + [("p2", g) for g in range(9)] + [("p3", g) for g in range(8)] + [("p4", g + 5) for g in range(9)]
     g = spark.createDataFrame(genes, "panel string, gene bigint")
     s = spark.createDataFrame([(f"{p}-{i}", p) for p, n in (("p1", 3), ("p2", 1), ("p3", 3), ("p4", 2)) for i in range(n)], "sample string, panel string")
-    assert rows(panels.cohorts(s, g, 0.9, 2)) == [("p1", 2, 4, 10), ("p3", 1, 3, 8), ("p4", 1, 2, 9)]
+    assert rows(panels.cohorts(s.selectExpr("*", "'X' technology"), g, 0.9, 2)) == [("X", "p1", 2, 4, 10), ("X", "p3", 1, 3, 8), ("X", "p4", 1, 2, 9)]
 
 
 def test_exact_copies(spark):

@@ -78,3 +78,28 @@ def test_shares_and_classes_over_many_parts(spark, monkeypatch):
     monkeypatch.setattr(relational, "SALT_ROWS", 10)
     rows = spark.range(300).select((F.col("id") % 3).alias("c"), "id")
     assert sorted(r.id for r in relational.balance(rows, "c", [F.col("id")], most=150, least=50).collect()) == list(range(150))
+
+
+def test_cohorts_per_technology_against_brute_force(spark):
+    import random
+
+    from tessera.operators import panels
+
+    rng = random.Random(6)
+    sets = {f"p{i}": set(rng.sample([f"g{k}" for k in range(12)], rng.randrange(5, 12))) for i in range(14)}
+    sets |= {f"q{i}": sets[f"p{i}"] - {min(sets[f"p{i}"])} for i in range(6)}
+    samples = [(i, rng.choice("XYZ"), rng.choice(sorted(sets))) for i in range(300)]
+    want, taken = [], set()
+    for tech in "XYZ":
+        n = Counter(p for _, t, p in samples if t == tech)
+        for seed in sorted((p for p in n if n[p] >= 4), key=lambda p: (-len(sets[p]), p)):
+            if seed not in taken:
+                group = [p for p in n if p not in taken and len(sets[p] & sets[seed]) >= 0.7 * len(sets[seed])]
+                taken |= set(group)
+                want.append((tech, seed, len(group), sum(n[p] for p in group), len(sets[seed])))
+    s = spark.createDataFrame(samples, "sample int, technology string, panel string")
+    g = spark.createDataFrame([(p, x) for p, xs in sets.items() for x in xs], "panel string, gene string")
+    assert [tuple(r) for r in panels.cohorts(s, g, 0.7, 4).collect()] == want
+    pairs = {(a, b): round(len(sets[a] & sets[b]) / len(sets[a]), 6) for a in sets for b in sets if a != b and sets[a] & sets[b]}
+    assert {(r.seed, r.panel): r.share for r in panels.containment(g).collect()} == pairs
+    assert {(r.seed, r.panel): r.share for r in panels.containment(g, min_share=0.7).collect()} == {k: x for k, x in pairs.items() if x >= 0.7}
