@@ -14,8 +14,8 @@ from tessera.functions.text import stated
 from tessera.session import persisted, small
 
 K = 2
-#: Shorter reference strings must be met exactly: a slip in them makes another word too easily.
-LEAST = 5
+#: A shorter reference string has an empty segment, so it must be met exactly.
+LEAST = K + 1
 
 #: Words about the donor, the preparation or the piece, around an entry.
 _PREFIX = r"(?:(?:human|adult|normal|fresh|frozen|healthy donor|biopsy of(?: the)?|sample of|section of|self[- ]identified(?: as)?|self[- ]reported) |(?:status|donor) ?: ?)"
@@ -88,7 +88,7 @@ def _cut(i: int, length: Column) -> tuple[Column, Column]:
 
 
 def near_pairs(values: DataFrame, refs: DataFrame) -> DataFrame:
-    """Pairs (field_name, form, term_id, spelling, d) within one slip: an edit, or two letters exchanged (d = 1)."""
+    """Pairs (field_name, form, term_id, spelling, d) within one slip: an edit, or two letters exchanged (d = 1), no digit."""
     index = [refs.select("field_name", "spelling", "term_id", F.length("spelling").alias("len"), F.lit(i).alias("i"), F.substring(F.col("spelling"), *_cut(i, F.length("spelling"))).alias("seg")) for i in range(K + 1)]
     segs = index[0].unionByName(index[1]).unionByName(index[2])
     size = F.length("form")
@@ -99,7 +99,9 @@ def near_pairs(values: DataFrame, refs: DataFrame) -> DataFrame:
     edits = F.levenshtein("form", "spelling", K)
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     swapped = (edits == 2) & (F.length("form") == F.length("spelling")) & (letters("form") == letters("spelling"))
-    return pairs.where((edits == 1) | swapped).withColumn("d", F.lit(1))
+    number = lambda c: F.regexp_replace(c, r"\D", "")
+    # another number is no slip: '12-year-old' is not '13-year-old'
+    return pairs.where(((edits == 1) | swapped) & (number("form") == number("spelling"))).withColumn("d", F.lit(1))
 
 
 def _probe(i: int) -> Column:
@@ -121,7 +123,7 @@ def canonical(values: DataFrame, canon: DataFrame) -> DataFrame:
     readings = persisted(readings.unionByName(ages).distinct(), "canon-readings")
     exact = readings.join(small(refs.withColumnRenamed("spelling", "form")), ["field_name", "form"]).select("field_name", "value", "term_id", F.struct(F.lit(0).alias("d"), "kind", "rank", F.lit(0).alias("other"), "term_id").alias("k"))
     hit = persisted(exact.groupBy("field_name", "value").agg(F.min("k").alias("k")), "canon-exact")
-    rest = readings.join(hit, ["field_name", "value"], "left_anti").where(~F.col("form").rlike(r"\d"))
+    rest = readings.join(hit, ["field_name", "value"], "left_anti")
     pairs = near_pairs(rest.select("field_name", "form").distinct(), refs.where(F.col("kind") == 0).where(F.length("spelling") >= LEAST))
     near = rest.join(pairs, ["field_name", "form"]).select(
         "field_name", "value", F.struct("d", F.lit(0).alias("kind"), "rank", (F.substring("form", 1, 1) != F.substring("spelling", 1, 1)).cast("int").alias("other"), "term_id").alias("k")

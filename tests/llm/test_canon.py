@@ -61,3 +61,9 @@ def test_rows(spark, canon):
     assert got == [(1, "state", 11), (2, "tissue", 1), (2, "tissue", 1), (4, "tissue", 0)]
     assert map_fields(df.limit(0), canon, ["tissue"]).count() == 0
     assert {r.term_id for r in map_fields(df, canon.limit(0), ["tissue"]).collect()} == {0}
+
+
+def test_slips_in_short_spellings_and_beside_digits(spark, canon):
+    values = [("tissue", "rem", 1), ("tissue", "re", 1), ("stage", "12-yaer-old stage", 21), ("stage", "13-yaer-old stage", 0), ("stage", "3-mnoth-old stage", 22), ("stage", "2-month-old stgae", 0)]
+    got = {(r.field_name, r.value): r.term_id for r in canonical(spark.createDataFrame([(f, v) for f, v, _ in values], "field_name string, value string"), canon).collect()}
+    assert got == {(f, v): t for f, v, t in values}
