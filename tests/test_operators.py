@@ -138,3 +138,16 @@ def test_containment_join(spark):
 def test_pooled_panels(spark):
     e = spark.createDataFrame([("g", "s1", "A"), ("g", "s2", "A"), ("g", "s1", "B"), ("h", "s3", "A")], "organ string, sample string, gene string")
     assert rows(panels.pooled_panel(e, "organ")) == [("g", "A", 2), ("g", "B", 1), ("h", "A", 1)]
+
+
+def test_label_transfer_on_held_out_labels(spark):
+    import random
+
+    from tessera.operators.labels import transfer
+
+    rng = random.Random(8)
+    data = [(i, [rng.gauss(3.0 if k == i % 4 else 0.0, 1.0) for k in range(6)], i % 4) for i in range(600)]
+    df = spark.createDataFrame([(i, v, None if i % 5 == 0 else c) for i, v, c in data], "id int, v array<double>, c int")
+    got = {r.id: r.predicted for r in transfer(df, "id", "v", "c", clusters=4).collect()}
+    held = [(got[i], c) for i, _, c in data if i % 5 == 0]
+    assert len(got) == 600 and sum(a == b for a, b in held) >= 0.85 * len(held)
